@@ -12,6 +12,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(160)
 _UNIT_NODES, _UNIT_WEIGHTS = (_NODES + 1.0) / 2.0, _WEIGHTS / 2.0
@@ -66,11 +67,11 @@ def _where_valid(compute, first: pd.Series, second: pd.Series, df: pd.Series) ->
     return pd.Series(out, dtype="float64").astype("Float64").where(valid, pd.NA)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return _where_valid(two_sided_p, t, df, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_critical(df: pd.Series, alpha: pd.Series) -> pd.Series:
     return _where_valid(critical_value, df, alpha, df)

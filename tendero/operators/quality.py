@@ -123,16 +123,21 @@ def dq_store_missing_days(
     last = tx.agg(F.max("transaction_date")).scalar() if end is None else F.lit(end).cast("date")
     days = tx.filter(F.col("transaction_date").between(first, last)).select("store_id", "transaction_date").distinct()
     ordered = Window.partitionBy("store_id").orderBy("transaction_date")
+    selling = days.select(
+        "store_id", "transaction_date",
+        F.row_number().over(ordered).alias("place"),
+        F.lead("transaction_date").over(ordered).alias("next_date"),
+    )
     before_first = F.when(
-        F.row_number().over(ordered) == 1,
+        F.col("place") == 1,
         F.struct(first.alias("gap_start"), F.date_sub("transaction_date", 1).alias("gap_end")),
     )
     after = F.struct(
         F.date_add("transaction_date", 1).alias("gap_start"),
-        F.coalesce(F.date_sub(F.lead("transaction_date").over(ordered), 1), last).alias("gap_end"),
+        F.coalesce(F.date_sub("next_date", 1), last).alias("gap_end"),
     )
     runs = (
-        days.select("store_id", F.inline(F.array_compact(F.array(before_first, after))))
+        selling.select("store_id", F.inline(F.array_compact(F.array(before_first, after))))
         .withColumn("days", F.datediff("gap_end", "gap_start") + 1)
         .filter(F.col("days") > 0)
     )

@@ -160,9 +160,8 @@ def lost_sales_by_vendor(gaps: DataFrame, n: int | None = 5) -> DataFrame:
 
 
 def _leading(totals: DataFrame, n: int | None, tie: str) -> DataFrame:
-    # Sums of doubles may differ in the last bits between runs; cents decide the order.
-    amount = F.round("ventas_estimadas_perdidas", 2)
-    ordered = totals.withColumn("ventas_estimadas_perdidas", amount).orderBy(amount.desc(), tie)
+    # Sums of doubles may differ in the last bits between runs, so those must not decide the order.
+    ordered = totals.orderBy(F.round("ventas_estimadas_perdidas", 3).desc(), tie)
     return ordered if n is None else ordered.limit(n)
 
 

@@ -112,16 +112,18 @@ def rolling_sales_stream(
 
 
 def no_data_alerts(
-    feed: DataFrame, silence: str = "2 hours", delay: str = "2 hours", opening: int = 8, closing: int = 22
+    feed: DataFrame, silence_hours: int = 2, delay: str = "2 hours", opening: int = 8, closing: int = 22
 ) -> DataFrame:
-    """A store's activity is a session that ends once it has been silent for ``silence``; a closed
-    session ending in opening hours is an alert."""
+    """A store's activity is a session that ends once it has been silent for ``silence_hours``; a
+    closed session ending in opening hours is an alert."""
     sessions = (
         feed.withWatermark("ts", delay)
-        .groupBy(F.session_window("ts", silence).alias("session"), "store_id")
+        .groupBy(F.session_window("ts", f"{silence_hours} hours").alias("session"), "store_id")
         .agg(F.count("*").alias("tickets"), F.max("ts").alias("last_ts"))
     )
-    alert_at = F.col("session.end")
+    # The end is taken from the newest ticket, not from the window: a filter on the window column
+    # is pushed below the aggregate, where it sees single tickets instead of merged sessions.
+    alert_at = F.col("last_ts") + F.make_dt_interval(hours=F.lit(silence_hours))
     in_hours = (F.hour(alert_at) >= opening) & (F.hour(alert_at) < closing)
     return sessions.select("store_id", "tickets", "last_ts", alert_at.alias("alert_at")).filter(in_hours)
 
