@@ -333,8 +333,7 @@ def _stream_result(spark: SparkSession, stream: DataFrame, purpose: str, *partit
 
 @session_query("stream_ingest")
 def _ingest(spark: SparkSession, directory: str) -> DataFrame:
-    schema = spark.read.parquet(f"{directory}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(directory)
+    raw = benchmark.raw_event_stream(spark, directory)
     stored = _stream_result(spark, streams.ingest(raw), "ingest", "arrival_date")
     return stored.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
