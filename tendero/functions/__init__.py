@@ -1,4 +1,5 @@
 from tendero.functions.columns import (
+    average_ticket,
     category_en,
     line_amount,
     line_cost,
@@ -16,6 +17,7 @@ from tendero.functions.columns import (
 from tendero.functions.student_t import t_critical, t_two_sided_p
 
 __all__ = [
+    "average_ticket",
     "category_en",
     "line_amount",
     "line_cost",

@@ -51,6 +51,16 @@ def transaction_count(unique_ids: bool = False, key: str = "transaction_id") ->
     return F.count(key) if unique_ids else F.count_distinct(key)
 
 
+def average_ticket(unique_ids: bool = False, positive_only: bool = False) -> Column:
+    """Net sales per ticket as an aggregate.  ``positive_only`` leaves tickets whose reported total
+    is zero or less out of both sides."""
+    net, counted = net_amount(), F.col("transaction_id")
+    if positive_only:
+        positive = F.col("total_amount") > 0
+        net, counted = F.when(positive, net), F.when(positive, counted)
+    return ratio(F.sum(net), F.count(counted) if unique_ids else F.count_distinct(counted))
+
+
 def week_start(day: str | Column) -> Column:
     """Monday of the week holding ``day``."""
     return F.date_trunc("week", _col(day)).cast("date")

@@ -107,11 +107,20 @@ def dim_promotion(tables: Tables) -> DataFrame:
 def promotion_days(tables: Tables) -> DataFrame:
     """(store, day) covered by promotions.  Windows expand to days so the sales join is a plain
     equi join that keeps its grain; where a store has two promotions on a day the key stays NULL
-    and the count shows the ambiguity."""
-    days = tables["store_promotions"].select(
-        "store_id",
-        surrogate_key(*PROMOTION_COLUMNS).alias("promotion_key"),
-        F.explode(F.sequence("start_date", "end_date")).alias("transaction_date"),
+    and the count shows the ambiguity.  Windows are cut to the days that have sales, so an
+    open-ended promotion stays small."""
+    sold = tables["transactions"]
+    first = F.greatest("start_date", sold.agg(F.min("transaction_date")).scalar())
+    last = F.least("end_date", sold.agg(F.max("transaction_date")).scalar())
+    days = (
+        tables["store_promotions"]
+        .select("store_id", *PROMOTION_COLUMNS, first.alias("first_day"), last.alias("last_day"))
+        .filter(F.col("first_day") <= F.col("last_day"))
+        .select(
+            "store_id",
+            surrogate_key(*PROMOTION_COLUMNS).alias("promotion_key"),
+            F.explode(F.sequence("first_day", "last_day")).alias("transaction_date"),
+        )
     )
     return days.groupBy("store_id", "transaction_date").agg(
         F.count_distinct("promotion_key").alias("promotions"),

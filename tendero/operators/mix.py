@@ -86,12 +86,15 @@ def category_share(tables: Tables, category: str | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- vendor margin
-def vendor_margin_return(tables: Tables, threshold: float = 1.0) -> DataFrame:
+def vendor_margin_return(
+    tables: Tables, threshold: float = 1.0, keep_unknown_items: bool = False, low_label: str = LOW_MARGIN_RETURN
+) -> DataFrame:
     """Gross margin over cost by vendor and category, with item count and units per day.
 
     Cost is a product attribute, so each item's cost total is its units times its cost: the
     product join needs one row per item instead of one per line, and since items are unique
-    after that reduction, counting them needs no distinct."""
+    after that reduction, counting them needs no distinct.  Sold items that are missing from the
+    product table are left out unless ``keep_unknown_items``."""
     per_item = completed_lines(tables, ("transaction_date",)).groupBy("item_id").agg(
         F.sum("line").alias("sales"),
         F.sum("quantity").alias("units"),
@@ -103,7 +106,7 @@ def vendor_margin_return(tables: Tables, threshold: float = 1.0) -> DataFrame:
     margin = F.col("ventas_brutas_items") - F.col("costo_total")
     span = F.datediff("last_day", "first_day") + 1
     return (
-        per_item.join(products, "item_id")
+        per_item.join(products, "item_id", "left" if keep_unknown_items else "inner")
         .groupBy("vendor_id", "category")
         .agg(
             F.sum("sales").alias("ventas_brutas_items"),
@@ -122,7 +125,7 @@ def vendor_margin_return(tables: Tables, threshold: float = 1.0) -> DataFrame:
             margin.alias("margen_bruto"),
             "retorno_margen_bruto_sobre_costo", "items_activos",
             ratio("units", span).alias("velocidad_unidades_por_dia"),
-            F.when(F.col("retorno_margen_bruto_sobre_costo") < threshold, LOW_MARGIN_RETURN)
+            F.when(F.col("retorno_margen_bruto_sobre_costo") < threshold, low_label)
             .otherwise(OK)
             .alias("alerta_retorno_margen"),
         )

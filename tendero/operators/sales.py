@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tendero.functions import money_sum, net_amount, ratio, transaction_count
+from tendero.functions import average_ticket, money_sum, net_amount, ratio, transaction_count
 from tendero.operators.base import DateLike, as_date, between_dates, completed_lines, horizon_or_last, union_all
 from tendero.schemas import LOW_PERFORMANCE, OK, RETURNED, Tables
 
@@ -108,19 +108,22 @@ def comp_sales_extremes(comparable: DataFrame, n: int = 4) -> DataFrame:
 
 # ---------------------------------------------------------------- productivity
 def _store_totals(
-    tables: Tables, start: DateLike | None, end: DateLike | None, unique_ids: bool
+    tables: Tables, start: DateLike | None, end: DateLike | None, unique_ids: bool, positive_tickets: bool
 ) -> DataFrame:
     per_store = (
         between_dates(tables["transactions"], start, end)
         .groupBy("store_id")
-        .agg(F.sum(net_amount()).alias("ventas_netas"), transaction_count(unique_ids).alias("transacciones"))
+        .agg(
+            F.sum(net_amount()).alias("ventas_netas"),
+            transaction_count(unique_ids).alias("transacciones"),
+            average_ticket(unique_ids, positive_tickets).alias("ticket_promedio"),
+        )
     )
     attributes = ("store_id", "store_name", "country", "format", "region", "size_sqm")
     return per_store.join(tables["stores"].select(*attributes), "store_id").withColumns(
         {
             PER_SQM: ratio("ventas_netas", "size_sqm"),
             TX_PER_SQM: ratio("transacciones", "size_sqm"),
-            "ticket_promedio": ratio("ventas_netas", "transacciones"),
         }
     )
 
@@ -146,12 +149,14 @@ def store_productivity(
     pct: float = 0.25,
     method: str = "linear",
     unique_ids: bool = False,
+    positive_tickets: bool = False,
 ) -> DataFrame:
     """Sales and tickets per square metre with the format's percentile, rank and alert.  Without
-    dates the quarter holding the newest transaction is used."""
+    dates the quarter holding the newest transaction is used.  ``unique_ids`` trusts the ticket
+    key; ``positive_tickets`` keeps zero and negative totals out of the average ticket."""
     last = horizon_or_last(tables, end)
     first = F.trunc(last, "quarter") if start is None else as_date(start)
-    scored = _store_totals(tables, first, last, unique_ids)
+    scored = _store_totals(tables, first, last, unique_ids, positive_tickets)
     in_format = Window.partitionBy("format")
     if method == "linear":
         scored = scored.withColumn(P25, F.percentile(PER_SQM, pct).over(in_format))
@@ -189,26 +194,24 @@ def net_sales_total(tables: Tables) -> DataFrame:
     return tables["transactions"].agg(F.sum(net_amount()).alias("ventas_netas"))
 
 
-def net_sales_by(tables: Tables, keys: tuple[str, ...], unique_ids: bool = False) -> DataFrame:
+def net_sales_by(
+    tables: Tables, keys: tuple[str, ...], unique_ids: bool = False, positive_tickets: bool = False
+) -> DataFrame:
     """Net sales, tickets and average ticket by store attributes."""
     per_store_keys = tables["stores"].select("store_id", *keys)
-    tx = tables["transactions"]
-    if unique_ids:
-        stores = tx.groupBy("store_id").agg(F.sum(net_amount()).alias("net"), F.count("transaction_id").alias("n"))
-        out = stores.join(per_store_keys, "store_id").groupBy(*keys)
-        totals = out.agg(F.sum("net").alias("ventas_netas"), F.sum("n").alias("transacciones"))
-    else:
-        out = tx.join(per_store_keys, "store_id").groupBy(*keys)
-        totals = out.agg(F.sum(net_amount()).alias("ventas_netas"), transaction_count().alias("transacciones"))
-    return totals.withColumn("ticket_promedio", ratio("ventas_netas", "transacciones"))
+    return tables["transactions"].join(per_store_keys, "store_id").groupBy(*keys).agg(
+        F.sum(net_amount()).alias("ventas_netas"),
+        transaction_count(unique_ids).alias("transacciones"),
+        average_ticket(unique_ids, positive_tickets).alias("ticket_promedio"),
+    )
 
 
-def net_sales_by_format(tables: Tables, unique_ids: bool = False) -> DataFrame:
-    return net_sales_by(tables, ("format",), unique_ids)
+def net_sales_by_format(tables: Tables, **options: bool) -> DataFrame:
+    return net_sales_by(tables, ("format",), **options)
 
 
-def net_sales_by_country_format(tables: Tables, unique_ids: bool = False) -> DataFrame:
-    return net_sales_by(tables, ("country", "format"), unique_ids)
+def net_sales_by_country_format(tables: Tables, **options: bool) -> DataFrame:
+    return net_sales_by(tables, ("country", "format"), **options)
 
 
 def top_stores(tables: Tables, n: int = 10) -> DataFrame:

@@ -125,7 +125,7 @@ FROM transactions t JOIN stores s ON s.store_id = t.store_id
 """
 _STORE_DAY_KEYS = " GROUP BY ALL"
 oracle("store_day", _STORE_DAY + _STORE_DAY_KEYS)
-oracle("store_day_filtered", _STORE_DAY + """ WHERE s.country = 'REGION_1' AND s.format = 'SUPERMERCADO'
+oracle("store_day_filtered", _STORE_DAY + """ WHERE s.country = 'AMERICA' AND s.format = 'SUPERMERCADO'
   AND transaction_date BETWEEN DATE '2001-01-01' AND DATE '2001-08-01'""" + _STORE_DAY_KEYS)
 oracle("save_table", _STORE_DAY + _STORE_DAY_KEYS)
 oracle("export_json", f"SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM ({_STORE_DAY + _STORE_DAY_KEYS})")

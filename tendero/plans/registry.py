@@ -220,7 +220,7 @@ query("promo_impact_long")(mix.promo_impact_long)
 query("promo_impact_ranked")(lambda t: mix.promo_impact_ranked(mix.promo_impact(t)))
 query("store_day")(sales.store_day)
 query("store_day_filtered")(
-    lambda t: sales.store_day(t, country="REGION_1", format="SUPERMERCADO", start=LOAD_CUT, end=HORIZON)
+    lambda t: sales.store_day(t, country="AMERICA", format="SUPERMERCADO", start=LOAD_CUT, end=HORIZON)
 )
 
 # ---------------------------------------------------------------- cohorts

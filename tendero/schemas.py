@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 _S, _I, _D, _B, _DATE = T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType(), T.DateType()
 

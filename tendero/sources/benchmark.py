@@ -3,6 +3,8 @@ lineitem, events), so every operator runs on them unchanged."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,84 +38,108 @@ def raw_event_stream(spark: SparkSession, directory: str, **options: str) -> Dat
     return reader.options(**options).parquet(directory)
 
 
+class _LazyTables(Mapping[str, DataFrame]):
+    """Builds a table's plan on first use, so a query pays only for the tables it reads."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def retail_tables(spark: SparkSession, directory: str) -> Tables:
     def read(name: str) -> DataFrame:
         return read_source(spark, directory, name)
 
-    nation = read("nation")
-    key = F.col("n_nationkey")
-    stores = nation.join(read("region"), F.col("r_regionkey") == F.col("n_regionkey")).select(
-        key.alias("store_id"),
-        F.col("n_name").alias("store_name"),
-        F.col("r_name").alias("country"),
-        F.col("n_name").alias("city"),
-        F.when(key % 4 == 0, "HIPERMERCADO")
-        .when(key % 4 == 1, "SUPERMERCADO")
-        .when(key % 4 == 2, "DESCUENTO")
-        .otherwise("EXPRESS")
-        .alias("format"),
-        (key * 137 + 200).alias("size_sqm"),
-        F.date_add(F.lit("1994-01-01").cast("date"), key * 100).alias("opening_date"),
-        F.col("r_name").alias("region"),
-    )
-    supplier = F.col("s_suppkey")
-    vendors = read("supplier").filter(supplier < 10).select(
-        supplier.alias("vendor_id"),
-        F.col("s_name").alias("vendor_name"),
-        F.col("s_nationkey").cast("string").alias("country"),
-        F.when(supplier % 3 == 0, "A").when(supplier % 3 == 1, "B").otherwise("C").alias("tier"),
-        (F.col("s_acctbal") > 0).alias("is_shared_catalog"),
-    )
-    products = read("part").select(
-        F.col("p_partkey").alias("item_id"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_brand").alias("brand"),
-        (F.col("p_partkey") % 11).alias("vendor_id"),
-        F.col("p_type").alias("category"),
-        F.concat(F.lit("Dep "), F.substring("p_type", 1, 3)).alias("department"),
-        (F.col("p_retailprice") * 0.6).alias("cost"),
-    )
-    identified = F.col("o_custkey") % 5 >= 3
-    customers = read("customer").select("c_custkey", "c_nationkey")
-    transactions = read("orders").join(customers, F.col("c_custkey") == F.col("o_custkey")).select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.when(identified, F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("transaction_date"),
-        F.col("c_nationkey").alias("store_id"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.col("o_orderpriority").alias("payment_method"),
-        identified.alias("loyalty_card"),
-        F.when(F.col("o_orderstatus") == "P", RETURNED).otherwise(COMPLETED).alias("status"),
-    )
-    items = read("lineitem").select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
-            "transaction_item_id"
-        ),
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-        (F.col("l_discount") >= 0.08).alias("was_on_promo"),
-    )
-    variants = F.array(F.lit(CONTROL), F.lit(TREATMENT))
-    own = F.when(key % 2 == 0, F.lit(CONTROL)).otherwise(F.lit(TREATMENT))
-    assigned = F.when(key.isin(*DUAL_VARIANT_STORES), variants).otherwise(F.array(own))
-    promotions = nation.select(
-        key.alias("store_id"),
-        F.lit("Exhibicion").alias("promo_name"),
-        F.explode(assigned).alias("variant"),
-        F.lit(TRIAL_START).cast("date").alias("start_date"),
-        F.lit(TRIAL_END).cast("date").alias("end_date"),
-        F.lit("EXHIBICION").alias("promo_type"),
-    )
-    return {
-        "stores": stores,
-        "vendors": vendors,
-        "products": products,
-        "transactions": transactions,
-        "transaction_items": items,
-        "store_promotions": promotions,
-    }
+    def stores() -> DataFrame:
+        key = F.col("n_nationkey")
+        return read("nation").join(read("region"), F.col("r_regionkey") == F.col("n_regionkey")).select(
+            key.alias("store_id"),
+            F.col("n_name").alias("store_name"),
+            F.col("r_name").alias("country"),
+            F.col("n_name").alias("city"),
+            F.when(key % 4 == 0, "HIPERMERCADO")
+            .when(key % 4 == 1, "SUPERMERCADO")
+            .when(key % 4 == 2, "DESCUENTO")
+            .otherwise("EXPRESS")
+            .alias("format"),
+            (key * 137 + 200).alias("size_sqm"),
+            F.date_add(F.lit("1994-01-01").cast("date"), key * 100).alias("opening_date"),
+            F.col("r_name").alias("region"),
+        )
+
+    def vendors() -> DataFrame:
+        supplier = F.col("s_suppkey")
+        return read("supplier").filter(supplier < 10).select(
+            supplier.alias("vendor_id"),
+            F.col("s_name").alias("vendor_name"),
+            F.col("s_nationkey").cast("string").alias("country"),
+            F.when(supplier % 3 == 0, "A").when(supplier % 3 == 1, "B").otherwise("C").alias("tier"),
+            (F.col("s_acctbal") > 0).alias("is_shared_catalog"),
+        )
+
+    def products() -> DataFrame:
+        return read("part").select(
+            F.col("p_partkey").alias("item_id"),
+            F.col("p_name").alias("item_name"),
+            F.col("p_brand").alias("brand"),
+            (F.col("p_partkey") % 11).alias("vendor_id"),
+            F.col("p_type").alias("category"),
+            F.concat(F.lit("Dep "), F.substring("p_type", 1, 3)).alias("department"),
+            (F.col("p_retailprice") * 0.6).alias("cost"),
+        )
+
+    def transactions() -> DataFrame:
+        identified = F.col("o_custkey") % 5 >= 3
+        customers = read("customer").select("c_custkey", "c_nationkey")
+        return read("orders").join(customers, F.col("c_custkey") == F.col("o_custkey")).select(
+            F.col("o_orderkey").alias("transaction_id"),
+            F.when(identified, F.col("o_custkey")).alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("transaction_date"),
+            F.col("c_nationkey").alias("store_id"),
+            F.col("o_totalprice").alias("total_amount"),
+            F.col("o_orderpriority").alias("payment_method"),
+            identified.alias("loyalty_card"),
+            F.when(F.col("o_orderstatus") == "P", RETURNED).otherwise(COMPLETED).alias("status"),
+        )
+
+    def transaction_items() -> DataFrame:
+        line_key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+        return read("lineitem").select(
+            line_key.alias("transaction_item_id"),
+            F.col("l_orderkey").alias("transaction_id"),
+            F.col("l_partkey").alias("item_id"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+            (F.col("l_discount") >= 0.08).alias("was_on_promo"),
+        )
+
+    def store_promotions() -> DataFrame:
+        key = F.col("n_nationkey")
+        own = F.when(key % 2 == 0, F.lit(CONTROL)).otherwise(F.lit(TREATMENT))
+        both = F.array(F.lit(CONTROL), F.lit(TREATMENT))
+        assigned = F.when(key.isin(*DUAL_VARIANT_STORES), both).otherwise(F.array(own))
+        return read("nation").select(
+            key.alias("store_id"),
+            F.lit("Exhibicion").alias("promo_name"),
+            F.explode(assigned).alias("variant"),
+            F.lit(TRIAL_START).cast("date").alias("start_date"),
+            F.lit(TRIAL_END).cast("date").alias("end_date"),
+            F.lit("EXHIBICION").alias("promo_type"),
+        )
+
+    builders = (stores, vendors, products, transactions, transaction_items, store_promotions)
+    return _LazyTables({build.__name__: build for build in builders})
 
 
 def _as_feed(events: DataFrame) -> DataFrame:
