@@ -80,6 +80,13 @@ def dq_duplicate_keys(table: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicados"))
 
 
+def dq_hot_tickets(tables: Tables, lines: int = 1000) -> DataFrame:
+    """Tickets with at least ``lines`` item lines: a data error, or a key to keep out of a
+    bucketed layout."""
+    sizes = tables["transaction_items"].groupBy("transaction_id").agg(F.count("*").alias("lineas"))
+    return sizes.filter(F.col("lineas") >= lines)
+
+
 def _orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Rows whose key the dimension lacks.  Keys are counted first, so the anti join sees each
     distinct key once; a NULL key is an orphan."""

@@ -16,7 +16,8 @@ BUCKETED = {"transactions": "transaction_id", "transaction_items": "transaction_
 
 def store_retail(tables: Tables, prefix: str, buckets: int) -> None:
     """Save the base tables as ``<prefix>_<table>``.  Choose ``buckets`` so that one bucket of the
-    larger fact is a few hundred megabytes."""
+    larger fact is a few hundred megabytes.  Adaptive execution cannot split a bucket, so use it for
+    tickets of ordinary size (``dq_hot_tickets`` finds the others)."""
     for name in TABLE_NAMES:
         frame: DataFrame = tables[name]
         if name in BUCKETED:
