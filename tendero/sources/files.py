@@ -31,7 +31,7 @@ def _typed(field: T.StructField) -> Column:
     return text.try_cast(field.dataType)
 
 
-def _raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, whole_lines: bool = False) -> DataFrame:
     columns = [T.StructField(f.name, T.StringType()) for f in schema]
     text_schema = T.StructType([*columns, T.StructField(CORRUPT, T.StringType())])
     return (
@@ -41,6 +41,8 @@ def _raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
+        # A line of the wrong shape is only seen when no column is pruned from the parse.
+        .option("columnPruning", not whole_lines)
         .csv(path)
     )
 
@@ -61,7 +63,7 @@ def split_bad_rows(spark: SparkSession, path: str, table: str) -> tuple[DataFram
         if not isinstance(f.dataType, (T.StringType, T.BooleanType))
     ]
     failed = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
-    marked = _raw_csv(spark, path, schema).withColumn(FAILED, failed)
+    marked = _raw_csv(spark, path, schema, whole_lines=True).withColumn(FAILED, failed)
     is_bad = F.col(CORRUPT).isNotNull() | (F.size(FAILED) > 0)
     good = marked.filter(~is_bad).select(*[_typed(f).alias(f.name) for f in schema])
     return good, marked.filter(is_bad)

@@ -62,7 +62,7 @@ def make(spark):
 
 def records(df, *columns, sort=True):
     rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(rows, key=repr) if sort else rows
+    return sorted(rows, key=lambda r: [(v is not None, v) for v in r]) if sort else rows
 
 
 def one(df):
