@@ -9,7 +9,7 @@ from tendero.functions import net_amount, ratio, transaction_count, week_start
 from tendero.operators.base import DateLike, between_dates, horizon_or_last
 from tendero.operators.cohorts import cohort_activity
 from tendero.operators.mix import vendor_margin_return
-from tendero.operators.stockgaps import daily_item_sales, stock_gaps
+from tendero.operators.stockgaps import grain_lines, stock_gaps
 from tendero.schemas import Tables
 
 # Suggested targets, and the weights of the health score.
@@ -115,11 +115,12 @@ def kpi_availability(
     idle_days: int = 3,
 ) -> DataFrame:
     """Share of a store's active items that are selling: active means sold within
-    ``active_days`` of the horizon, idle means no sale in the last ``idle_days`` days."""
+    ``active_days`` of the horizon, idle means no sale in the last ``idle_days`` days.  Only those
+    days of sales are read: an item whose last sale is older is not active anyway."""
     last = horizon_or_last(tables, horizon, completed_only=True)
-    newest = daily_item_sales(tables, grain, last).groupBy(*grain).agg(F.max("fecha_venta").alias("last_day"))
+    recent = grain_lines(tables, grain, F.date_sub(last, active_days), last)
+    active = recent.groupBy(*grain).agg(F.max("transaction_date").alias("last_day"))
     silent_days = F.datediff(last, F.col("last_day"))
-    active = newest.filter(silent_days <= active_days)
     return (
         active.groupBy("store_id")
         .agg(F.count("*").alias("active_items"), F.count_if(silent_days >= idle_days).alias("idle_items"))

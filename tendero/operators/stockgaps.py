@@ -18,16 +18,26 @@ STORE_ITEM = ("store_id", "item_id")
 _TICKET_KEYS = ("store_id", "transaction_date")
 
 
-def daily_item_sales(tables: Tables, grain: tuple[str, ...] = STORE_ITEM, end: Column | None = None) -> DataFrame:
-    """Completed units and gross sales per grain and day.  A grain may name store, item, category
-    or vendor columns; the product join happens only when the grain needs it."""
+def grain_lines(
+    tables: Tables, grain: tuple[str, ...] = STORE_ITEM, start: Column | None = None, end: Column | None = None
+) -> DataFrame:
+    """Completed lines with the grain's columns.  A grain may name store, item, category or vendor
+    columns; the product join happens only when the grain needs it.  Date bounds apply to the
+    tickets, so they prune their scan before the join."""
     lines = completed_lines(tables, _TICKET_KEYS)
+    if start is not None:
+        lines = lines.filter(F.col("transaction_date") >= start)
     if end is not None:
         lines = lines.filter(F.col("transaction_date") <= end)
     product_columns = [c for c in grain if c not in ("store_id", "item_id")]
     if product_columns:
         lines = lines.join(tables["products"].select("item_id", *product_columns), "item_id")
-    return lines.groupBy(*grain, F.col("transaction_date").alias("fecha_venta")).agg(
+    return lines
+
+
+def daily_item_sales(tables: Tables, grain: tuple[str, ...] = STORE_ITEM, end: Column | None = None) -> DataFrame:
+    """Completed units and gross sales per grain and day."""
+    return grain_lines(tables, grain, end=end).groupBy(*grain, F.col("transaction_date").alias("fecha_venta")).agg(
         F.sum("quantity").alias("unidades"), F.sum("line").alias("ventas_brutas")
     )
 

@@ -7,14 +7,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution splits skewed join partitions and picks partition counts at run time.
+# Adaptive execution splits skewed join partitions and picks partition counts at run time.  Stream
+# state lives in RocksDB, off the heap, and sessions of a busy store merge before they shuffle.
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
