@@ -132,25 +132,26 @@ def promotion_days(tables: Tables) -> DataFrame:
 
 
 def fact_sales_item(tables: Tables, salt: str) -> DataFrame:
-    tickets = tables["transactions"].select(
-        "transaction_id", "transaction_date", "store_id", "customer_id", "status"
-    )
-    # Promotions attach to the tickets, which are fewer than the lines.
-    placed = tickets.join(promotion_days(tables), ["store_id", "transaction_date"], "left")
-    lines = tables["transaction_items"].join(
-        tables["products"].select("item_id", F.col("cost").cast("decimal(18,6)").alias("cost")), "item_id", "left"
-    )
-    gross = line_amount()
-    margin = signed(gross - F.col("quantity") * F.col("cost"))
-    return lines.join(placed, "transaction_id").select(
-        "transaction_item_id", "transaction_id",
+    """One row per item line.  Keys are hashed where rows are fewest: store and customer keys on the
+    tickets, product keys on the products; only a line of an unknown item hashes its own."""
+    day = ["store_id", "transaction_date"]
+    tickets = tables["transactions"].join(promotion_days(tables), day, "left").select(
+        "transaction_id", "status",
         date_key("transaction_date").alias("date_key"),
         surrogate_key("store_id").alias("store_key"),
-        surrogate_key("item_id").alias("product_key"),
         customer_key("customer_id", salt).alias("customer_key"),
         "promotion_key",
         F.coalesce("promotions", F.lit(0)).alias("promociones_vigentes"),
-        "quantity", "unit_price",
+    )
+    products = tables["products"].select(
+        "item_id", surrogate_key("item_id").alias("product_key"), F.col("cost").cast("decimal(18,6)").alias("cost")
+    )
+    gross = line_amount()
+    margin = signed(gross - F.col("quantity") * F.col("cost"))
+    return tables["transaction_items"].join(products, "item_id", "left").join(tickets, "transaction_id").select(
+        "transaction_item_id", "transaction_id", "date_key", "store_key",
+        F.coalesce("product_key", surrogate_key("item_id")).alias("product_key"),
+        "customer_key", "promotion_key", "promociones_vigentes", "quantity", "unit_price",
         gross.alias("ventas_brutas_item"),
         signed(gross).alias("ventas_netas_item"),
         F.col("cost").alias("costo_unitario"),
