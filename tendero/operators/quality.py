@@ -1,7 +1,7 @@
 """Data-quality audit.
 
-Each check is a one-row frame ``(dimension, check, failed, total, pct, detail)`` so that
-``dq_findings`` is their union; checks on the same table share one scan.
+Single checks are operators of their own; ``dq_findings`` gives all of them as rows of
+``(dimension, check, failed, total, pct, detail)``, where checks on one input share its scan.
 """
 
 from __future__ import annotations
@@ -41,10 +41,10 @@ def dq_loyalty_matrix(tables: Tables) -> DataFrame:
 # ---------------------------------------------------------------- amounts
 def ticket_deltas(tables: Tables) -> DataFrame:
     """Reported total minus the sum of its lines.  Lines are summed before they meet the ticket,
-    and the join reuses that partitioning.  Tickets without lines have no delta."""
+    and the join reuses that partitioning.  The delta of a ticket without lines is NULL."""
     sums = tables["transaction_items"].groupBy("transaction_id").agg(F.sum(line_amount()).alias("items_total"))
     tickets = tables["transactions"].select("transaction_id", money("total_amount").alias("total"))
-    return tickets.join(sums, "transaction_id").withColumn("delta", F.col("total") - F.col("items_total"))
+    return tickets.join(sums, "transaction_id", "left").withColumn("delta", F.col("total") - F.col("items_total"))
 
 
 def dq_amount_mismatch(tables: Tables, tolerance: float = 0.01) -> DataFrame:
@@ -54,11 +54,11 @@ def dq_amount_mismatch(tables: Tables, tolerance: float = 0.01) -> DataFrame:
         F.count_if(wrong).alias("transacciones_con_diferencia"),
         F.max(F.when(wrong, F.abs(delta))).alias("diferencia_maxima"),
         F.count_if(wrong & (delta < 0)).alias("negative"),
+        F.count("*").alias("total"),
     )
-    total = tables["transactions"].agg(F.count("*")).scalar()
     return found.select(
-        "transacciones_con_diferencia",
-        (ratio("transacciones_con_diferencia", total) * 100).alias("pct"),
+        "transacciones_con_diferencia", "total",
+        (ratio("transacciones_con_diferencia", "total") * 100).alias("pct"),
         "diferencia_maxima",
         ratio("negative", "transacciones_con_diferencia").alias("proporcion_negativa"),
     )
@@ -77,7 +77,10 @@ def dq_zero_price_no_promo(tables: Tables) -> DataFrame:
 def dq_duplicate_keys(table: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Rows beyond the first of each key.  Grouping by the key combines copies on the map side."""
     copies = table.groupBy(*keys).agg(F.count("*").alias("n"))
-    return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicados"))
+    return copies.agg(
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicados"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+    )
 
 
 def dq_hot_tickets(tables: Tables, lines: int = 1000) -> DataFrame:
@@ -194,69 +197,110 @@ def _counted(df: DataFrame, checks: dict[tuple[str, ...], Column]) -> DataFrame:
     return df.agg(F.count("*").alias("total"), *counts).select("total", F.inline(F.array(*rows)))
 
 
-def _finding(df: DataFrame, dimension: str, check: str, failed: str | Column, total: Column, detail: Column):
-    bad = F.col(failed) if isinstance(failed, str) else failed
-    row = df.select(bad.cast("long").alias("failed"), total.cast("long").alias("total"), detail.alias("detail"))
-    return row.select(
-        F.lit(dimension).alias("dimension"), F.lit(check).alias("check"), "failed", "total",
-        (ratio("failed", "total") * 100).alias("pct"), "detail",
+def _as_findings(row: DataFrame, *checks: tuple) -> DataFrame:
+    """Turn one row of counts into ``(dimension, check, failed, total, pct, detail)`` rows."""
+    structs = [
+        F.struct(
+            F.lit(dimension).alias("dimension"), F.lit(check).alias("check"),
+            _count(failed).alias("failed"), _count(total).alias("total"),
+            (F.lit(None) if detail is None else detail).cast("string").alias("detail"),
+        )
+        for dimension, check, failed, total, detail in checks
+    ]
+    return row.select(F.inline(F.array(*structs))).select(
+        "dimension", "check", "failed", "total", (ratio("failed", "total") * 100).alias("pct"), "detail"
     )
 
 
-def dq_findings(tables: Tables) -> DataFrame:
-    """All checks as one long table.  Ticket-level checks come from a single scan."""
-    no_detail = F.lit(None).cast("string")
+def _count(value: str | Column) -> Column:
+    return F.coalesce((F.col(value) if isinstance(value, str) else value).cast("long"), F.lit(0))
+
+
+def _ticket_findings(tables: Tables) -> DataFrame:
+    """Every ticket check that a (store, day) profile can answer, from one scan of the tickets."""
+    tx = tables["transactions"]
     customer, card = F.col("customer_id"), F.col("loyalty_card")
-    ticket_checks = _counted(
-        tables["transactions"],
-        {
-            ("Completitud", "transacciones_sin_cliente"): customer.isNull(),
-            ("Consistencia", "tarjeta_sin_cliente"): customer.isNull() & card,
-            ("Consistencia", "cliente_sin_tarjeta"): customer.isNotNull() & ~card,
-            ("Validez", "total_no_positivo"): F.col("total_amount") <= 0,
-        },
-    ).select(
-        F.col("name")[0].alias("dimension"), F.col("name")[1].alias("check"), "failed", "total",
-        (ratio("failed", "total") * 100).alias("pct"), no_detail.alias("detail"),
+    first, last = tx.agg(F.min("transaction_date")).scalar(), tx.agg(F.max("transaction_date")).scalar()
+    profile = tx.groupBy("store_id", "transaction_date").agg(
+        F.count("*").alias("n"),
+        F.count_if(customer.isNull()).alias("no_customer"),
+        F.count_if(customer.isNull() & card).alias("card_only"),
+        F.count_if(customer.isNotNull() & ~card).alias("no_card"),
+        F.count_if(F.col("total_amount") <= 0).alias("nonpositive"),
+    )
+    ordered = Window.partitionBy("store_id").orderBy("transaction_date")
+    day = F.col("transaction_date")
+    before = F.datediff(day, F.coalesce(F.date_add(F.lag(day).over(ordered), 1), first))
+    after = F.when(F.lead(day).over(ordered).isNull(), F.datediff(last, day)).otherwise(0)
+    silence = profile.withColumns({"before": before, "after": after}).withColumn("silent", F.greatest("before", "after"))
+    stores = tables["stores"].select("store_id", "opening_date", F.lit(True).alias("known"))
+    early = day < F.col("opening_date")
+    row = silence.join(stores, "store_id", "left").agg(
+        *[F.sum(c).alias(c) for c in ("n", "no_customer", "card_only", "no_card", "nonpositive")],
+        F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("no_store"),
+        F.sum(F.when(early, F.col("n"))).alias("early"),
+        F.min(F.when(early, day)).alias("early_from"),
+        F.max(F.when(early, day)).alias("early_to"),
+        F.count_distinct(F.when(F.col("silent") > 0, F.col("store_id"))).alias("silent_stores"),
+        F.max(F.when(F.col("silent") > 0, F.col("silent"))).alias("longest"),
     )
-    n_tickets = tables["transactions"].agg(F.count("*")).scalar()
-    n_items = tables["transaction_items"].agg(F.count("*")).scalar()
-    n_products = tables["products"].agg(F.count("*")).scalar()
     n_stores = tables["stores"].agg(F.count("*")).scalar()
-    silent = dq_store_missing_days(tables).agg(
-        F.count("*").alias("n"), F.max(F.struct("max_gap_days", "store_id")).alias("worst")
+    window = F.concat_ws("..", F.col("early_from").cast("string"), F.col("early_to").cast("string"))
+    return _as_findings(
+        row,
+        ("Completitud", "transacciones_sin_cliente", "no_customer", "n", None),
+        ("Consistencia", "tarjeta_sin_cliente", "card_only", "n", None),
+        ("Consistencia", "cliente_sin_tarjeta", "no_card", "n", None),
+        ("Validez", "total_no_positivo", "nonpositive", "n", None),
+        ("Integridad referencial", "store_id_invalido", "no_store", "n", None),
+        ("Frescura", "tiendas_con_dias_sin_venta", "silent_stores", n_stores, F.col("longest")),
+        ("Integridad temporal", "venta_antes_de_apertura", "early", "n", window),
     )
-    dual = multi_variant_stores(tables).agg(F.count("*").alias("n"))
-    longest = F.col("worst.max_gap_days").cast("string")
+
+
+def _line_findings(tables: Tables) -> DataFrame:
+    """Line checks from one scan, reduced to items before the product join."""
+    free = (F.col("unit_price") == 0) & ~F.col("was_on_promo")
+    per_item = tables["transaction_items"].groupBy("item_id").agg(
+        F.count("*").alias("n"), F.count_if(free).alias("free")
+    )
+    known = tables["products"].select("item_id", F.lit(True).alias("known"))
+    row = per_item.join(known, "item_id", "left").agg(
+        F.sum("n").alias("n"), F.sum("free").alias("free"),
+        F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("no_item"),
+    )
+    return _as_findings(
+        row,
+        ("Validez", "precio_cero_sin_promocion", "free", "n", None),
+        ("Integridad referencial", "item_id_invalido", "no_item", "n", None),
+    )
+
+
+def dq_findings(tables: Tables) -> DataFrame:
+    """All checks as one long table; checks that share an input share its scan."""
+    largest = F.col("diferencia_maxima").cast("decimal(18,2)")
+    n_products = tables["products"].agg(F.count("*")).scalar()
+    n_stores = tables["stores"].agg(F.count("*")).scalar()
     return union_all(
         [
-            ticket_checks,
-            _finding(
-                dq_amount_mismatch(tables), "Consistencia", "total_distinto_de_items",
-                "transacciones_con_diferencia", n_tickets,
-                F.col("diferencia_maxima").cast("decimal(18,2)").cast("string"),
-            ),
-            _finding(
-                dq_duplicate_keys(tables["transactions"], ("transaction_id",)), "Unicidad",
-                "transaction_id_duplicado", "duplicados", n_tickets, no_detail,
+            _ticket_findings(tables),
+            _line_findings(tables),
+            _as_findings(
+                dq_amount_mismatch(tables),
+                ("Consistencia", "total_distinto_de_items", "transacciones_con_diferencia", "total", largest),
             ),
-            _finding(
-                dq_zero_price_no_promo(tables), "Validez", "precio_cero_sin_promocion", "items_precio_cero",
-                n_items, no_detail,
+            _as_findings(
+                dq_duplicate_keys(tables["transactions"], ("transaction_id",)),
+                ("Unicidad", "transaction_id_duplicado", "duplicados", "total", None),
             ),
-            _finding(dq_orphan_store(tables), "Integridad referencial", "store_id_invalido", "huerfanos", n_tickets, no_detail),
-            _finding(dq_orphan_item(tables), "Integridad referencial", "item_id_invalido", "huerfanos", n_items, no_detail),
-            _finding(
-                dq_orphan_vendor_count(tables), "Integridad referencial", "producto_sin_vendor",
-                "productos_con_vendor_inexistente", n_products, no_detail,
+            _as_findings(
+                dq_orphan_vendor_count(tables),
+                ("Integridad referencial", "producto_sin_vendor", "productos_con_vendor_inexistente", n_products, None),
             ),
-            _finding(silent, "Frescura", "tiendas_con_dias_sin_venta", "n", n_stores, longest),
-            _finding(
-                dq_before_opening(tables), "Integridad temporal", "venta_antes_de_apertura", "transacciones",
-                n_tickets,
-                F.concat_ws("..", F.col("fecha_minima").cast("string"), F.col("fecha_maxima").cast("string")),
+            _as_findings(
+                multi_variant_stores(tables).agg(F.count("*").alias("n")),
+                ("Prueba A/B", "tienda_en_dos_variantes", "n", n_stores, None),
             ),
-            _finding(dual, "Prueba A/B", "tienda_en_dos_variantes", "n", n_stores, no_detail),
         ]
     )
 

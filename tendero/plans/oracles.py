@@ -151,13 +151,13 @@ deltas AS (
   FROM transactions t JOIN transaction_items i ON i.transaction_id = t.transaction_id GROUP BY t.transaction_id)
 """
 oracle("dq_amount_mismatch", _DELTAS + f"""
-SELECT COUNT(*) AS transacciones_con_diferencia,
+SELECT COUNT(*) AS transacciones_con_diferencia, (SELECT COUNT(*) FROM transactions) AS total,
        {div('COUNT(*)', '(SELECT COUNT(*) FROM transactions)')} * 100 AS pct,
        {dbl('MAX(ABS(delta))')} AS diferencia_maxima,
        {div('COUNT(*) FILTER (delta < 0)', 'COUNT(*)')} AS proporcion_negativa
 FROM deltas WHERE ABS(delta) > 0.01""")
 oracle("dq_duplicate_keys", """
-SELECT COUNT(*) - COUNT(DISTINCT transaction_item_id) AS duplicados FROM transaction_items""")
+SELECT COUNT(*) - COUNT(DISTINCT transaction_item_id) AS duplicados, COUNT(*) AS total FROM transaction_items""")
 oracle("dq_nonpositive_total", """
 SELECT COUNT(*) AS transacciones_no_positivas FROM transactions WHERE total_amount <= 0""")
 oracle("dq_zero_price_no_promo", """

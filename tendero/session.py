@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A shuffled join whose measured partitions fit hashes them instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
