@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tendero.functions import line_amount, money, net_amount, ratio, row_hash, signed
+from tendero.functions import line_amount, net_amount, ratio, row_hash, signed
 from tendero.operators.base import DateLike, as_date, horizon_or_last
 from tendero.schemas import Tables
 

@@ -9,7 +9,7 @@ from tendero.functions import net_amount, ratio, transaction_count, week_start
 from tendero.operators.base import DateLike, between_dates, horizon_or_last
 from tendero.operators.cohorts import cohort_activity
 from tendero.operators.mix import vendor_margin_return
-from tendero.operators.stockgaps import grain_lines, stock_gaps
+from tendero.operators.stockgaps import grain_lines, stock_gaps, total_lost
 from tendero.schemas import Tables
 
 # Suggested targets, and the weights of the health score.
@@ -89,11 +89,11 @@ def kpi_stockout_index(
     tables: Tables, horizon: DateLike | None = None, grain: tuple[str, ...] = ("store_id", "item_id")
 ) -> DataFrame:
     """Estimated lost sales over net sales, by store."""
-    lost = stock_gaps(tables, grain, horizon).groupBy("store_id").agg(F.sum("venta_estimada_perdida").alias("lost"))
+    lost = stock_gaps(tables, grain, horizon).groupBy("store_id").agg(total_lost().alias("lost"))
     net = between_dates(tables["transactions"], None, horizon).groupBy("store_id").agg(
         F.sum(net_amount()).alias("net_sales")
     )
-    joined = net.join(lost, "store_id", "left").withColumn("lost", F.coalesce("lost", F.lit(0.0)))
+    joined = net.join(lost, "store_id", "left").withColumn("lost", F.coalesce("lost", F.lit(0).cast("decimal(38,6)")))
     return joined.withColumn("stockout_index", ratio("lost", "net_sales")).select(
         "store_id", "lost", "net_sales", "stockout_index",
         (F.col("stockout_index") < STOCKOUT_TARGET).alias("meets_target"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tendero.functions import line_amount, money, ratio, week_start
 from tendero.operators.base import DateLike, completed, horizon_or_last, union_all
+from tendero.operators.cohorts import cohort_activity
 from tendero.operators.experiments import multi_variant_stores
 from tendero.schemas import RETURNED, TABLE_NAMES, WITH_CUSTOMER, WITHOUT_CUSTOMER, Tables
 
@@ -352,6 +353,7 @@ def dq_kpi_rules(
                 tarjeta_sin_cliente=F.col("customer_id").isNull() & F.col("loyalty_card"),
             ),
             rules(weekly_ticket_drops(tables, drop), caida_de_transacciones=F.col("caida")),
+            rules(cohort_activity(tables, months=None), mes_relativo_negativo=F.col("mes_relativo") < 0),
             rules(
                 vendor_known,
                 costo_nulo_o_cero=F.col("cost").isNull() | (F.col("cost") <= 0),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tendero.functions import ratio
-from tendero.operators.base import DateLike, as_date, completed_lines, horizon_or_last
+from tendero.operators.base import DateLike, completed_lines, horizon_or_last
 from tendero.schemas import NO_VENDOR, Tables
 
 STORE_ITEM = ("store_id", "item_id")
@@ -157,8 +157,13 @@ def stock_gaps_calendar(
 
 
 # ---------------------------------------------------------------- roll-ups of a gap frame
+def total_lost(column: str = "venta_estimada_perdida") -> Column:
+    """Sum of estimates, each taken to six decimals: exact, so the order of rows cannot show."""
+    return F.sum(F.col(column).cast("decimal(28,6)"))
+
+
 def lost_sales_by(gaps: DataFrame, *keys: str) -> DataFrame:
-    return gaps.groupBy(*keys).agg(F.sum("venta_estimada_perdida").alias("ventas_estimadas_perdidas"))
+    return gaps.groupBy(*keys).agg(total_lost().alias("ventas_estimadas_perdidas"))
 
 
 def lost_sales_by_category(gaps: DataFrame, n: int | None = None) -> DataFrame:
@@ -170,8 +175,7 @@ def lost_sales_by_vendor(gaps: DataFrame, n: int | None = 5) -> DataFrame:
 
 
 def _leading(totals: DataFrame, n: int | None, tie: str) -> DataFrame:
-    # Sums of doubles may differ in the last bits between runs, so those must not decide the order.
-    ordered = totals.orderBy(F.round("ventas_estimadas_perdidas", 3).desc(), tie)
+    ordered = totals.orderBy(F.col("ventas_estimadas_perdidas").desc(), tie)
     return ordered if n is None else ordered.limit(n)
 
 
@@ -185,5 +189,5 @@ def gap_totals(gaps: DataFrame) -> DataFrame:
     return gaps.agg(
         F.count("*").alias("ausencias"),
         F.count_if("active_gap").alias("ausencias_activas"),
-        F.sum("venta_estimada_perdida").alias("ventas_estimadas_perdidas"),
+        total_lost().alias("ventas_estimadas_perdidas"),
     )

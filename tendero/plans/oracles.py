@@ -225,25 +225,6 @@ found(dimension, "check", failed, total, detail) AS (
   UNION ALL SELECT 'Integridad temporal', 'venta_antes_de_apertura', (SELECT n FROM early), tx, (SELECT strftime(lo, '%Y-%m-%d') || '..' || strftime(hi, '%Y-%m-%d') FROM early) FROM sizes
   UNION ALL SELECT 'Prueba A/B', 'tienda_en_dos_variantes', (SELECT COUNT(*) FROM dual), st, NULL FROM sizes)
 SELECT *, {div('failed', 'total')} * 100 AS pct FROM found""")
-oracle("dq_kpi_rules", f"""
-weekly AS (SELECT store_id, {WEEK} AS w, COUNT(*) AS tx FROM transactions GROUP BY ALL),
-drops AS (
-  SELECT tx, AVG(tx) OVER (PARTITION BY store_id ORDER BY w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS m FROM weekly),
-sold AS (
-  SELECT p.item_id, MAX(t.transaction_date) AS last_day
-  FROM products p LEFT JOIN (transaction_items i JOIN transactions t
-    ON t.transaction_id = i.transaction_id AND t.status = 'COMPLETED') ON i.item_id = p.item_id
-  GROUP BY p.item_id)
-SELECT 'superficie_nula_o_cero' AS rule, COUNT(*) FILTER (size_sqm IS NULL OR size_sqm <= 0) AS failed, COUNT(*) AS total FROM stores
-UNION ALL SELECT 'venta_negativa_sin_devolucion', COUNT(*) FILTER (total_amount < 0 AND status <> 'RETURNED'), COUNT(*) FROM transactions
-UNION ALL SELECT 'ticket_no_positivo', COUNT(*) FILTER (total_amount <= 0), COUNT(*) FROM transactions
-UNION ALL SELECT 'tarjeta_sin_cliente', COUNT(*) FILTER (customer_id IS NULL AND loyalty_card), COUNT(*) FROM transactions
-UNION ALL SELECT 'caida_de_transacciones', COUNT(*) FILTER (tx < m * CAST(1 - CAST(0.3 AS DOUBLE) AS DOUBLE)), COUNT(*) FROM drops
-UNION ALL SELECT 'costo_nulo_o_cero', COUNT(*) FILTER (cost IS NULL OR cost <= 0), COUNT(*) FROM products
-UNION ALL SELECT 'vendor_inexistente', COUNT(*) FILTER (vendor_id IS NULL OR vendor_id NOT IN (SELECT vendor_id FROM vendors)), COUNT(*) FROM products
-UNION ALL SELECT 'item_sin_ventas_recientes', COUNT(*) FILTER (last_day IS NULL OR DATE '2001-08-01' - last_day > 180), COUNT(*) FROM sold
-UNION ALL SELECT 'item_sin_historia', COUNT(*) FILTER (last_day IS NULL), COUNT(*) FROM sold""")
-
 # ---------------------------------------------------------------- comparable sales, productivity
 _COMPARABLE = f"""
 halves AS (
@@ -477,6 +458,26 @@ oracle("kpi_retention_m1", _COHORT + """
 SELECT mes_cohorte, clientes_activos, clientes_cohorte, tasa_retencion, tasa_retencion >= 0.7 AS meets_target
 FROM activity WHERE mes_relativo = 1""")
 
+oracle("dq_kpi_rules", _COHORT.strip() + f""",
+weekly AS (SELECT store_id, {WEEK} AS w, COUNT(*) AS tx FROM transactions GROUP BY ALL),
+drops AS (
+  SELECT tx, AVG(tx) OVER (PARTITION BY store_id ORDER BY w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS m FROM weekly),
+sold AS (
+  SELECT p.item_id, MAX(t.transaction_date) AS last_day
+  FROM products p LEFT JOIN (transaction_items i JOIN transactions t
+    ON t.transaction_id = i.transaction_id AND t.status = 'COMPLETED') ON i.item_id = p.item_id
+  GROUP BY p.item_id)
+SELECT 'superficie_nula_o_cero' AS rule, COUNT(*) FILTER (size_sqm IS NULL OR size_sqm <= 0) AS failed, COUNT(*) AS total FROM stores
+UNION ALL SELECT 'venta_negativa_sin_devolucion', COUNT(*) FILTER (total_amount < 0 AND status <> 'RETURNED'), COUNT(*) FROM transactions
+UNION ALL SELECT 'ticket_no_positivo', COUNT(*) FILTER (total_amount <= 0), COUNT(*) FROM transactions
+UNION ALL SELECT 'tarjeta_sin_cliente', COUNT(*) FILTER (customer_id IS NULL AND loyalty_card), COUNT(*) FROM transactions
+UNION ALL SELECT 'caida_de_transacciones', COUNT(*) FILTER (tx < m * CAST(1 - CAST(0.3 AS DOUBLE) AS DOUBLE)), COUNT(*) FROM drops
+UNION ALL SELECT 'mes_relativo_negativo', COUNT(*) FILTER (mes_relativo < 0), COUNT(*) FROM activity
+UNION ALL SELECT 'costo_nulo_o_cero', COUNT(*) FILTER (cost IS NULL OR cost <= 0), COUNT(*) FROM products
+UNION ALL SELECT 'vendor_inexistente', COUNT(*) FILTER (vendor_id IS NULL OR vendor_id NOT IN (SELECT vendor_id FROM vendors)), COUNT(*) FROM products
+UNION ALL SELECT 'item_sin_ventas_recientes', COUNT(*) FILTER (last_day IS NULL OR DATE '2001-08-01' - last_day > 180), COUNT(*) FROM sold
+UNION ALL SELECT 'item_sin_historia', COUNT(*) FILTER (last_day IS NULL), COUNT(*) FROM sold""")
+
 # ---------------------------------------------------------------- stock gaps
 oracle("daily_item_sales", _LINES + f"""
 SELECT store_id, item_id, transaction_date AS fecha_venta, CAST(SUM(quantity) AS BIGINT) AS unidades,
@@ -530,7 +531,7 @@ gaps AS (
   LEFT JOIN vendors v ON v.vendor_id = p.vendor_id)
 """
 oracle("stock_gaps_item", _ITEM_GAPS + "SELECT * FROM gaps")
-_LOST = "ROUND(SUM(venta_estimada_perdida), 3) AS ventas_estimadas_perdidas"
+_LOST = "CAST(SUM(CAST(venta_estimada_perdida AS DECIMAL(28,6))) AS DOUBLE) AS ventas_estimadas_perdidas"
 oracle("lost_sales_by_category", _ITEM_GAPS + f"SELECT category, {_LOST} FROM gaps GROUP BY category")
 oracle("lost_sales_by_vendor", _ITEM_GAPS + f"""
 SELECT vendor_id, vendor_name, {_LOST} FROM gaps GROUP BY ALL ORDER BY ventas_estimadas_perdidas DESC, vendor_id LIMIT 5""")
@@ -543,10 +544,10 @@ oracle("fact_stock_gap", _ITEM_GAPS + f"""
 SELECT {key('store_id')} AS store_key, {key('item_id')} AS product_key, fecha_inicio_ausencia, fecha_fin_ausencia,
        dias_sin_venta, venta_diaria_promedio_previa, venta_estimada_perdida FROM gaps""")
 oracle("kpi_stockout_index", _ITEM_GAPS + f""",
-lost AS (SELECT store_id, SUM(venta_estimada_perdida) AS lost FROM gaps GROUP BY store_id),
+lost AS (SELECT store_id, CAST(SUM(CAST(venta_estimada_perdida AS DECIMAL(28,6))) AS DOUBLE) AS lost FROM gaps GROUP BY store_id),
 net AS (SELECT store_id, {total(NET)} AS net_sales FROM transactions WHERE transaction_date <= DATE '2001-08-01' GROUP BY store_id)
-SELECT net.store_id, ROUND(COALESCE(lost, 0), 3) AS lost, net_sales,
-       ROUND({div('COALESCE(lost, 0)', 'net_sales')}, 8) AS stockout_index,
+SELECT net.store_id, COALESCE(lost, 0) AS lost, net_sales,
+       {div('COALESCE(lost, 0)', 'net_sales')} AS stockout_index,
        {div('COALESCE(lost, 0)', 'net_sales')} < 0.02 AS meets_target
 FROM net LEFT JOIN lost ON lost.store_id = net.store_id""")
 # ---------------------------------------------------------------- weekly series
@@ -658,7 +659,7 @@ tails AS (
   FROM welch w JOIN steps s ON s.metric = w.metric AND s.i = CAST(floor(abs(diff / se) / 0.0001) AS BIGINT))
 """
 _T_SELECT = f"""
-SELECT w.{_welch_columns(se=False)}, ROUND(p, 7) AS p_value, ROUND(diff - c * se, 2) AS ci_low, ROUND(diff + c * se, 2) AS ci_high
+SELECT w.{_welch_columns(se=False)}, ROUND(p, 7) AS p_value, ROUND(diff - c * se, 1) AS ci_low, ROUND(diff + c * se, 1) AS ci_high
 FROM welch w LEFT JOIN crit USING (metric) LEFT JOIN tails USING (metric)"""
 oracle("welch_stats", _TRIAL.strip() + _welch(_DURING_PLAIN) + f"SELECT {_welch_columns()} FROM welch")
 oracle("welch_stats_by_format",
@@ -770,6 +771,10 @@ SELECT event_id, strftime(ts, {TS}) AS ts, user_id, event_type, value, TRUE AS h
 oracle("stream_validate", f"""
 SELECT transaction_id, strftime(ts, {TS}) AS ts, store_id, total_amount, status,
        IF(total_amount <= 1, 'nonpositive_amount', 'ok') AS verdict FROM feed""")
+oracle("stream_findings", f"""
+SELECT 'Staging' AS dimension, IF(total_amount <= 1, 'nonpositive_amount', 'ok') AS "check", COUNT(*) AS failed,
+       (SELECT COUNT(*) FROM feed) AS total, {div('COUNT(*)', '(SELECT COUNT(*) FROM feed)')} * 100 AS pct
+FROM feed WHERE total_amount <= 1 GROUP BY ALL""")
 oracle("stream_dedup", f"SELECT transaction_id, strftime(ts, {TS}) AS ts, store_id, total_amount, status FROM feed")
 oracle("stream_hourly_sales", f"""
 SELECT strftime(date_trunc('hour', ts), {TS}) AS window_start,

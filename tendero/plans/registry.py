@@ -253,11 +253,11 @@ def _spine(t: Tables) -> DataFrame:
 query("stock_gaps")(_gaps)
 query("stock_gaps_item")(_item_gaps)
 query("stock_gaps_calendar")(lambda t: stockgaps.stock_gaps_calendar(t, CATEGORY_GRAIN, HORIZON))
-query("lost_sales_by_category", ventas_estimadas_perdidas=3)(lambda t: stockgaps.lost_sales_by_category(_item_gaps(t)))
-query("lost_sales_by_vendor", ventas_estimadas_perdidas=3)(lambda t: stockgaps.lost_sales_by_vendor(_item_gaps(t)))
+query("lost_sales_by_category")(lambda t: stockgaps.lost_sales_by_category(_item_gaps(t)))
+query("lost_sales_by_vendor")(lambda t: stockgaps.lost_sales_by_vendor(_item_gaps(t)))
 query("active_gaps")(lambda t: stockgaps.top_gaps(_item_gaps(t), 250, active_only=True))
 query("top_gaps")(lambda t: stockgaps.top_gaps(_item_gaps(t), 1000))
-query("gap_totals", ventas_estimadas_perdidas=3)(lambda t: stockgaps.gap_totals(_item_gaps(t)))
+query("gap_totals")(lambda t: stockgaps.gap_totals(_item_gaps(t)))
 
 # ---------------------------------------------------------------- weekly series
 query("weekly_sales")(lambda t: ts.weekly_sales(t, HORIZON))
@@ -268,7 +268,7 @@ query("weekly_extremes")(lambda t: ts.weekly_extremes(ts.weekly_change(ts.weekly
 # ---------------------------------------------------------------- experiments
 _SUMMARY_DIGITS = {"avg_weekly_gmv": 4, "avg_weekly_tx": 6, "avg_ticket": 4}
 _WELCH_DIGITS = {"control_mean": 3, "treatment_mean": 3, "diff": 3, "lift_pct": 6, "se": 3, "t": 6, "df": 6}
-_P_DIGITS = {"p_value": 7, "ci_low": 2, "ci_high": 2}
+_P_DIGITS = {"p_value": 7, "ci_low": 1, "ci_high": 1}
 _TEST_METRICS = ("test_weekly_gmv", "test_weekly_tx", "test_ticket")
 
 
@@ -317,7 +317,7 @@ query("kpi_tx_per_sqm", p50_format=8)(kpis.kpi_tx_per_sqm)
 query("kpi_avg_ticket")(kpis.kpi_avg_ticket)
 query("kpi_loyalty_conversion")(kpis.kpi_loyalty_conversion)
 query("kpi_retention_m1")(kpis.kpi_retention_m1)
-query("kpi_stockout_index", lost=3, stockout_index=8)(lambda t: kpis.kpi_stockout_index(t, HORIZON))
+query("kpi_stockout_index")(lambda t: kpis.kpi_stockout_index(t, HORIZON))
 query("kpi_margin_return")(kpis.kpi_margin_return)
 query("kpi_availability")(lambda t: kpis.kpi_availability(t, HORIZON, CATEGORY_GRAIN))
 query("kpi_health_score", health_score=8)(lambda t: kpis.kpi_health_score(t, *QUARTER, CATEGORY_GRAIN))
@@ -347,6 +347,11 @@ def _validate(spark: SparkSession, directory: str) -> DataFrame:
     return _stream_result(spark, checked, "validate", "verdict")
 
 
+@session_query("stream_findings")
+def _stream_findings(spark: SparkSession, directory: str) -> DataFrame:
+    return streams.rejection_findings(_validate(spark, directory))
+
+
 @session_query("stream_dedup")
 def _dedup(spark: SparkSession, directory: str) -> DataFrame:
     feed = benchmark.event_stream(spark, directory)

@@ -3,6 +3,7 @@ from tendero.streaming.feed import (
     hourly_sales,
     ingest,
     no_data_alerts,
+    rejection_findings,
     rolling_sales_stream,
     run_available,
     upsert_stream,
@@ -14,6 +15,7 @@ __all__ = [
     "hourly_sales",
     "ingest",
     "no_data_alerts",
+    "rejection_findings",
     "rolling_sales_stream",
     "run_available",
     "upsert_stream",

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tendero.functions import net_amount
+from tendero.functions import net_amount, ratio
 from tendero.operators.incremental import upsert_partitions
 
 VALID = "ok"
@@ -63,6 +63,16 @@ def validate(feed: DataFrame, min_amount: float = 0.0) -> DataFrame:
     return feed.withColumn("verdict", verdict(min_amount))
 
 
+def rejection_findings(checked: DataFrame) -> DataFrame:
+    """Rejected rows of a validated table as audit findings, one row per failed check."""
+    counts = checked.groupBy("verdict").agg(F.count("*").alias("failed"))
+    total = counts.agg(F.sum("failed")).scalar()
+    return counts.filter(F.col("verdict") != VALID).select(
+        F.lit("Staging").alias("dimension"), F.col("verdict").alias("check"), "failed", total.alias("total"),
+        (ratio("failed", total) * 100).alias("pct"),
+    )
+
+
 def _first_copies(keys: list[str]):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -79,6 +79,7 @@ def test_kpi_rules(make):
     assert rules["venta_negativa_sin_devolucion"] == (1, 6)
     assert rules["vendor_inexistente"] == (2, 3)
     assert rules["item_sin_historia"] == (2, 3)
+    assert rules["mes_relativo_negativo"][0] == 0
 
 
 def test_weekly_drop_needs_history(make):

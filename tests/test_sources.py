@@ -40,12 +40,13 @@ def test_short_lines_are_bad_rows(spark, tmp_path):
     assert records(bad, "vendor_id") == [("V2",)]
 
 
-def test_load_all_tables_from_csv_and_parquet(make, spark, tmp_path):
+def test_load_all_tables_from_each_format(make, spark, tmp_path):
     tables = make([ticket("a", "2025-01-01")], [line("1", "a")])
     for name in TABLE_NAMES:
         sinks.export(tables[name], str(tmp_path / "csv" / f"{name}.csv"), "csv")
-        sinks.save(tables[name], path=str(tmp_path / "parquet" / name))
-    for fmt in ("csv", "parquet"):
+        for fmt in ("parquet", "orc", "json"):
+            sinks.save(tables[name], path=str(tmp_path / fmt / name), fmt=fmt)
+    for fmt in ("csv", "parquet", "orc", "json"):
         loaded = files.load_tables(spark, str(tmp_path / fmt), fmt)
         for name in TABLE_NAMES:
             assert [(f.name, f.dataType) for f in loaded[name].schema] == [(f.name, f.dataType) for f in SCHEMAS[name]]

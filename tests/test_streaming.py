@@ -63,6 +63,8 @@ def test_validation_splits_by_verdict(spark, tmp_path):
         (None, "missing_key"), (1, "ok"), (2, "missing_time"), (3, "missing_store"), (4, "missing_amount"), (5, "nonpositive_amount"),
     ]
     assert (tmp_path / "out" / "verdict=ok").is_dir()
+    findings = {r.check: (r.failed, r.total) for r in streams.rejection_findings(out).collect()}
+    assert len(findings) == 5 and findings["missing_time"] == (1, 6)
 
 
 def test_alerts_match_the_batch_twin(spark, tmp_path):
