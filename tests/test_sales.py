@@ -143,4 +143,4 @@ def test_counts_and_validation(make):
 
 def test_category_names_in_english(spark):
     df = spark.createDataFrame([("Hogar",), ("Otra",), (None,)], "c string")
-    assert records(df.select(category_en("c"))) == [("Home",), ("Otra",), (None,)]
+    assert records(df.select(category_en("c"))) == [(None,), ("Home",), ("Otra",)]
