@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,7 +33,10 @@ def build_session(app: str = "tendero", master: str | None = None, **conf: str)
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.  Only where that is
-    unset (a local test session) does it fall back to the machine's temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A fresh folder on storage that the driver and all executors share: below
+    ``spark.checkpoint.dir``, or below the session's warehouse where that is unset.  Never a
+    machine's own temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
