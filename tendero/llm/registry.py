@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tendero.llm import tokens
+from tendero.llm import packing, rules, secrets, tokens
 from tendero.llm.common import table
 
 
@@ -17,6 +17,22 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_scans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), length=2048)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
     return counted.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit", "limit_chars", "prefix_steps")
