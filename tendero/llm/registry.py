@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tendero.llm import packing, rules, secrets, tokens
+from tendero.llm import packing, rules, secrets, sharding, tokens, urls
 from tendero.llm.common import table
 
 
@@ -33,6 +33,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.best_fit_sharding(table(spark, sf_dir, "documents"), shards=8)
+    return dealt.selectExpr("*", "'bytes' AS law", "CAST(NULL AS INT) AS grown_shard")
+
+
+URL_RULES = (
+    urls.Rule("allow", "org/"),
+    urls.Rule("block", "example.org/es/"),
+    urls.Rule("block", "example.org/en/1"),
+    urls.Rule("allow", "com/fr/"),
+    urls.Rule("block", "com/de/"),
+)
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
     return counted.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit", "limit_chars", "prefix_steps")
