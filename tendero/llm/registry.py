@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tendero.llm import classifier, decontam, packing, rules, secrets, sharding, tokens, urls
+from tendero.llm import classifier, decontam, neardup, packing, rules, secrets, sharding, tokens, urls
 from tendero.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), length=2048)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
