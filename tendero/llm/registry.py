@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tendero.llm import classifier, decontam, neardup, packing, rules, secrets, sharding, tokens, urls
+from tendero.llm import classifier, decontam, neardup, packing, rules, secrets, sharding, suffixes, tokens, urls
 from tendero.llm.common import table
 
 
@@ -63,6 +64,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
     return counted.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit", "limit_chars", "prefix_steps")
