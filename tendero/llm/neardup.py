@@ -92,7 +92,7 @@ class Shingles:
 
 
 def sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (set size), digest of the set, sketch."""
+    """doc_id, crc of the text, n (set size), digest of the set, sketch."""
 
     def make():
         shingles = Shingles()
@@ -103,7 +103,7 @@ def sets(docs: DataFrame, k: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([min(k, len(x)) for x in found])]).astype(np.int32)
             values = np.concatenate([x[:k] for x in found]) if found else np.zeros(0, np.uint64)
             return {
-                "doc_id": batch.column("doc_id"),
+                **{c: batch.column(c) for c in ("doc_id", "crc")},
                 "n": pa.array(map(len, found), pa.int64()),
                 "digest": pa.array(digest, pa.binary()),
                 "sketch": pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))),
@@ -111,7 +111,8 @@ def sets(docs: DataFrame, k: int) -> DataFrame:
 
         return work
 
-    return map_batches(texts(docs), make, "doc_id long, n long, digest binary, sketch array<long>")
+    given = texts(docs).withColumn("crc", F.crc32(F.col("text").cast("binary")))
+    return map_batches(given, make, "doc_id long, crc long, n long, digest binary, sketch array<long>")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -310,17 +311,18 @@ class NearDuplicates:
         return links.unionAll(self.verified(more).where(is_link).select("a", "b"))
 
     def classes(self) -> DataFrame:
-        """One row a document: doc_id, n_shingles, component_id, kept."""
+        """One row a document: doc_id, crc, n_shingles, component_id, kept."""
         joined = components(self.links())
         of_set = (
             self.nodes.join(joined, "node", "left")
             .withColumn("component", F.coalesce("component", "node"))
             .select("digest", F.when(F.col("component") >= 0, F.col("component")).alias("component_id"), "component")
         )
-        found = self.rows.select("doc_id", "n", "digest").join(of_set, "digest", "left")
+        found = self.rows.select("doc_id", "crc", "n", "digest").join(of_set, "digest", "left")
         component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
         return found.select(
             "doc_id",
+            "crc",
             F.col("n").alias("n_shingles"),
             component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
@@ -330,4 +332,19 @@ class NearDuplicates:
 def near_duplicates(docs: DataFrame, sketching: Sketching = Sketching()) -> DataFrame:  # noqa: B008
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id that can be reached
     over links, its own included) and kept (whether it is that document)."""
-    return NearDuplicates(docs, sketching).classes()
+    return NearDuplicates(docs, sketching).classes().drop("crc")
+
+
+def representatives(docs: DataFrame, sketching: Sketching = Sketching()) -> DataFrame:  # noqa: B008
+    """The documents of which ``near_duplicates`` keeps one for each component, with all their
+    columns; of rows with the same doc_id and text one stays."""
+    kept = NearDuplicates(docs, sketching).classes().where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("crc").alias("_kept_crc")
+    )
+    given = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn(
+        "_crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    )
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_crc") == F.col("_kept_crc"))
+    alike = Window.partitionBy("_id", "_crc").orderBy("_crc")
+    once = given.join(kept.distinct(), same, "left_semi").withColumn("_copy", F.row_number().over(alike))
+    return once.where("_copy = 1").select(*docs.columns)

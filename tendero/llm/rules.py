@@ -182,3 +182,26 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta
     written once, for the cutoffs and for the verdicts."""
     measured = materialise(measure(docs), "quality-counts")
     return judge(measured, calibrate(measured, labels, alpha, delta))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.1) -> DataFrame:
+    """The documents that the rules keep, with all their columns.  Only labelled documents are
+    counted for the cutoffs; then every text is judged where it is, without a shuffle of texts."""
+    cutoffs = calibrate(materialise(measure(docs), "quality-counts"), labels, alpha, delta)
+    steps = {s: {FEATURES[name]: step for name, step in found.items()} for s, found in cutoffs.items()}
+
+    def keeps(text: str | None, stratum: str | None) -> bool:
+        held = dict(zip(COUNTS, counts_of(text or ""), strict=True))
+        if held["n_words"] < 10 or 100 * held["n_repeat_words"] > 20 * held["n_words"]:
+            return False
+        return not any(
+            held[whole] and math.ceil(min(held[part] / held[whole], 1.0) * GRID) - 1 >= step
+            for (part, whole), step in steps.get(stratum or "", {}).items()
+        )
+
+    def run(batches):
+        for batch in batches:
+            text, lang = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "lang"))
+            yield batch.filter(pa.array(map(keeps, text, lang), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
