@@ -10,6 +10,7 @@ table gives an empty result; columns other than doc_id and text do not matter.""
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterable
@@ -26,27 +27,46 @@ ITEM = array("I").itemsize  # bytes of an id
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-class _Words(dict):
+class _Words:
     """Token ids of the words between spaces, as little-endian bytes.  The tokenizer drops white
-    space and looks at no word's neighbours, so a text's ids are those of its words."""
+    space and looks at no word's neighbours, so a text's ids are those of its words.  Nor does it
+    look beyond a mark that follows a letter (one that no special token or short form holds), so
+    new words are cut there, and their parts encoded together, once for each text."""
+
+    CUT = re.compile(r"(?<=[A-Za-zÀ-ɏ])(?=[,.!%$#*&;?:])").split
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(tokenizer).encode
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        found = array("I", self.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= WORD_LENGTH:
-            if len(self) > WORD_LIMIT:
-                self.clear()
-                self[""] = b""
-            self[word] = found
-        return found
+        self.encode = Tokenizer.from_file(tokenizer).encode_batch_fast
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.parts) > WORD_LIMIT:
+            self.parts = {}
+        cut = {w: [p.lower() if p.isascii() and "<" not in p else p for p in self.CUT(w)] for w in words}
+        fresh = list({p for parts in cut.values() for p in parts}.difference(self.parts))
+        for part, found in zip(fresh, self.encode(fresh, add_special_tokens=False), strict=True):
+            self.parts[part] = array("I", found.ids).tobytes()
+        for word, parts in cut.items():
+            self.words[word] = b"".join([self.parts[p] for p in parts])
+        for part in fresh:
+            if len(part) > WORD_LENGTH:
+                del self.parts[part]
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = text.replace("\n", " ").split(" ")
+        different = set(words)
+        if len(self.words) > WORD_LIMIT:
+            self.words = {"": b""}
+        if new := different.difference(self.words):
+            self.learn(new)
+        found = b"".join(map(self.words.__getitem__, words))
+        for word in new:
+            if len(word) > WORD_LENGTH:
+                del self.words[word]
+        return found
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
