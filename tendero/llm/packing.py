@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tendero.llm.common import map_batches, materialise, slots, texts
 
-WORD_LIMIT, WORD_LENGTH = 500_000, 64
+WORD_LIMIT, PART_LIMIT, WORD_LENGTH = 400_000, 1_000_000, 64
 ITEM = array("I").itemsize  # bytes of an id
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -43,7 +43,7 @@ class _Words:
         self.parts: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.parts) > WORD_LIMIT:
+        if len(self.parts) > PART_LIMIT:
             self.parts = {}
         cut = {w: [p.lower() if p.isascii() and "<" not in p else p for p in self.CUT(w)] for w in words}
         fresh = list({p for parts in cut.values() for p in parts}.difference(self.parts))

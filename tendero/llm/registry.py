@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendero.llm import classifier, decontam, neardup, packing, rules, secrets, sharding, suffixes, tokens, urls
-from tendero.llm.common import table
+from tendero.llm.common import materialise, table  # noqa: F401
 
 
 def vocabulary(name: str) -> str:
