@@ -72,9 +72,13 @@ def month_index_diff(later: Column, earlier: Column) -> Column:
 
 def surrogate_key(*columns: str | Column) -> Column:
     """Stable BIGINT key: the first 60 bits of SHA-256 over the natural key.  Independent of
-    partitioning and of load order, so facts and dimensions can be built by separate jobs."""
-    text = F.concat_ws("|", *[_col(c).cast("string") for c in columns])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    partitioning and of load order, so facts and dimensions can be built by separate jobs.  Each
+    part carries its length, and NULL a mark of its own, so no two natural keys share a text; a
+    natural key that is NULL throughout has a NULL key."""
+    parts = [_col(c).cast("string") for c in columns]
+    text = F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
+    key = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    return F.when(F.coalesce(*parts).isNotNull(), key)
 
 
 def row_hash(columns: list[str]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tendero.functions import line_amount, net_amount, ratio, row_hash, signed
 from tendero.operators.base import DateLike, as_date, horizon_or_last
 from tendero.schemas import Tables
+from tendero.session import work_folder
 
 
 def latest_per_key(rows: DataFrame, keys: tuple[str, ...], version: str) -> DataFrame:
@@ -20,26 +21,48 @@ def latest_per_key(rows: DataFrame, keys: tuple[str, ...], version: str) -> Data
     return newest.select(*keys, "row.*").select(*rows.columns)
 
 
+def _one_per_key(updates: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The updates' values as one struct per key.  A doubled or NULL key stops the job."""
+    values = [c for c in updates.columns if c not in keys]
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    grouped = updates.groupBy(*keys).agg(F.any_value(F.struct(*values)).alias("new"), F.count("*").alias("copies"))
+    new = (
+        F.when(missing, F.raise_error(F.lit("an update has a NULL key")))
+        .when(F.col("copies") > 1, F.raise_error(F.lit("an update holds a key more than once; give a version")))
+        .otherwise(F.col("new"))
+    )
+    return grouped.select(*keys, new.alias("new"))
+
+
 def merge_upsert(
     target: DataFrame, updates: DataFrame, keys: tuple[str, ...], version: str | None = None
 ) -> DataFrame:
     """Target rows with the updates applied: new keys are added, and a known key is replaced only
-    when its content changed.  ``merge_action`` says which happened.  Without ``version`` the
-    updates must hold each key once; with it (a column only the updates carry) they are reduced
-    to the newest row of each key first."""
+    when its content changed.  ``merge_action`` says which happened.
+
+    ``version`` is a column of both sides: of several updates of a key the newest counts, and it
+    replaces the stored row only if it is newer than that.  Without it the updates must hold each
+    key once.  Keys may not be NULL."""
     columns = target.columns
-    if version is not None:
-        updates = latest_per_key(updates.select(*columns, version), keys, version)
     values = [c for c in columns if c not in keys]
-    old = target.select(*keys, F.struct(*values).alias("old"), row_hash(columns).alias("old_hash"))
-    new = updates.select(*keys, F.struct(*values).alias("new"), row_hash(columns).alias("new_hash"))
+    updates = updates.select(*columns)
+    if version is not None:
+        if version not in values:
+            raise ValueError(f"the target must store the version, {version}")
+        updates = latest_per_key(updates, keys, version)
+    old = target.select(*keys, F.struct(*values).alias("old"))
+    differs = ~F.col("new").eqNullSafe(F.col("old"))
+    if version is not None:
+        differs = differs & F.coalesce(F.col(f"new.{version}") > F.col(f"old.{version}"), F.col(f"old.{version}").isNull())
     action = (
-        F.when(F.col("new_hash").isNull(), "kept")
-        .when(F.col("old_hash").isNull(), "inserted")
-        .when(F.col("new_hash") == F.col("old_hash"), "unchanged")
-        .otherwise("updated")
+        F.when(F.col("new").isNull(), "kept")
+        .when(F.col("old").isNull(), "inserted")
+        .when(differs, "updated")
+        .otherwise("unchanged")
     )
-    merged = old.join(new, list(keys), "full_outer").withColumn("merge_action", action)
+    merged = old.join(_one_per_key(updates, keys), list(keys), "full_outer").withColumn("merge_action", action)
     taken = F.when(F.col("merge_action").isin("inserted", "updated"), F.col("new")).otherwise(F.col("old"))
     return merged.withColumn("row", taken).select(*keys, "row.*", "merge_action").select(*columns, "merge_action")
 
@@ -48,28 +71,37 @@ def upsert_partitions(
     spark: SparkSession, path: str, updates: DataFrame, keys: tuple[str, ...], partition: str,
     version: str | None = None,
 ) -> None:
-    """Apply updates to a Parquet table partitioned by ``partition``, rewriting only the
-    partitions that receive rows.  A key must stay in its partition: one that moved is refused,
-    because the old copy would survive in a partition this write does not touch."""
-    target = spark.read.parquet(path)
-    columns = target.columns
-    fresh = updates.select(*columns) if version is None else latest_per_key(
-        updates.select(*columns, version), keys, version
-    ).select(*columns)
-    moved = (
-        target.select(*keys, F.col(partition).alias("_at"))
-        .join(fresh.select(*keys, F.col(partition).alias("_to")), list(keys))
-        .filter(~F.col("_at").eqNullSafe(F.col("_to")))
-    )
-    if not moved.isEmpty():
-        raise ValueError(f"an update changes {partition} of an existing key; rewrite the table with merge_upsert")
-    # Dynamic partition pruning limits the scan of the target to the touched partitions.
-    touched = fresh.select(partition).distinct()
-    affected = target.join(touched, partition, "left_semi")
-    merged = merge_upsert(affected, fresh, keys).drop("merge_action")
+    """Apply updates to a Parquet table partitioned by ``partition``, reading and rewriting only the
+    partitions that receive rows.  The partition must be one of ``keys``: a row that changes it is
+    another row.  (Use ``merge_upsert`` and a full rewrite where keys may move.)
+
+    The new partitions are written whole to shared storage first.  The table is never read while it
+    is overwritten, and an overwrite that is cut off can be repeated from there or by a replay."""
+    if partition not in keys:
+        raise ValueError(f"{partition} must be one of the keys; rewrite the table with merge_upsert where keys move")
+    columns = spark.read.parquet(path).columns
+    updates = updates.select(*columns)
+    # Given types: a partition called 01 stays text.
+    target = spark.read.schema(updates.schema).parquet(path)
+    touched = [r[0] for r in updates.select(partition).distinct().collect()]  # folders of the table
+    if not touched:
+        return
+    known = [F.lit(x).cast(updates.schema[partition].dataType) for x in touched if x is not None]
+    own = F.col(partition).isin(*known) if known else F.lit(False)
+    if None in touched:
+        own = own | F.col(partition).isNull()
+    affected = target.filter(own)
+    if None in touched:
+        # NULL is a partition as well: under a key of its own it takes part in the join.
+        merged = _merge_with_null_partition(affected, updates, keys, partition, version)
+    else:
+        merged = merge_upsert(affected, updates, keys, version).drop("merge_action")
+    staged = work_folder(spark, "upsert-staged")
+    merged.write.parquet(staged)
     # Rebalancing lets AQE split a partition that holds most rows and join the small ones.
     (
-        merged.hint("rebalance", F.col(partition))
+        spark.read.schema(merged.schema).parquet(staged)
+        .hint("rebalance", F.col(partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -77,6 +109,19 @@ def upsert_partitions(
     )
 
 
+def _merge_with_null_partition(
+    target: DataFrame, updates: DataFrame, keys: tuple[str, ...], partition: str, version: str | None
+) -> DataFrame:
+    rest = tuple(k for k in keys if k != partition)
+    found = merge_upsert(
+        target.filter(F.col(partition).isNotNull()), updates.filter(F.col(partition).isNotNull()), keys, version
+    )
+    nameless = merge_upsert(
+        target.filter(F.col(partition).isNull()), updates.filter(F.col(partition).isNull()), rest, version
+    )
+    return found.unionByName(nameless).drop("merge_action")
+
+
 # ---------------------------------------------------------------- certification and freshness
 def day_certification(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
     """Per day: stores expected (open by then), stores that reported, and whether the day may be
@@ -126,28 +171,53 @@ def hourly_tickets(feed: DataFrame) -> DataFrame:
     )
 
 
-def freshness_expected(feed: DataFrame, weeks: int = 3, floor: float = 0.5) -> DataFrame:
+def freshness_expected(
+    feed: DataFrame, weeks: int = 3, floor: float = 0.5, stores: DataFrame | None = None
+) -> DataFrame:
     """Each store hour against the mean of the same weekday and hour in the preceding weeks.
-    Silent hours count as zero; an hour is late when it holds under ``floor`` of its expectation."""
+    Silent hours count as zero; an hour is late when it holds under ``floor`` of its expectation.
+    With ``stores`` (the active ones), a store that never reported has hours from the feed's first one
+    on, all of them late."""
     hourly = hourly_tickets(feed).select("store_id", "hour", "tickets")
     last = feed.agg(F.max(F.date_trunc("hour", "ts"))).scalar()
-    spine = hourly.groupBy("store_id").agg(F.min("hour").alias("first")).select(
+    begun = hourly.groupBy("store_id").agg(F.min("hour").alias("first"))
+    if stores is not None:
+        first = feed.agg(F.min(F.date_trunc("hour", "ts"))).scalar()
+        absent = stores.select("store_id").distinct().join(begun, "store_id", "left_anti")
+        begun = begun.withColumn("reported", F.lit(True)).unionByName(
+            absent.select("store_id", first.alias("first"), F.lit(False).alias("reported"))
+        )
+    else:
+        begun = begun.withColumn("reported", F.lit(True))
+    spine = begun.select(
+        "reported",
         "store_id", F.explode(F.sequence("first", last, F.expr("interval 1 hour"))).alias("hour")
     )
     dense = spine.join(hourly, ["store_id", "hour"], "left").withColumn("tickets", F.coalesce("tickets", F.lit(0)))
     same_slot = Window.partitionBy("store_id", F.weekday("hour"), F.hour("hour")).orderBy("hour").rowsBetween(-weeks, -1)
     expected = ratio(F.sum("tickets").over(same_slot), F.count("tickets").over(same_slot))
-    return dense.withColumn("expected", expected).withColumn(
-        "late", F.coalesce(F.col("tickets") < F.col("expected") * floor, F.lit(False))
-    )
+    late = ~F.col("reported") | F.coalesce(F.col("tickets") < F.col("expected") * floor, F.lit(False))
+    return dense.withColumn("expected", expected).withColumn("late", late).drop("reported")
+
+
+def alert_time(last: Column, hours: int = 2, opening: int = 8, closing: int = 22) -> Column:
+    """When a store that was last heard of at ``last`` has been silent for ``hours`` of opening time:
+    that many hours later, but on a day not before the hours have passed since opening, and where
+    this falls after closing, on the next day.  Rises with ``last``."""
+    due = last + F.make_dt_interval(hours=F.lit(hours))
+    day = F.date_trunc("day", due)
+    earliest = day + F.make_dt_interval(hours=F.lit(opening + hours))
+    tomorrow = earliest + F.make_dt_interval(days=F.lit(1))
+    return F.when(F.hour(due) >= closing, tomorrow).otherwise(F.greatest(due, earliest))
 
 
 def silent_intervals(
-    feed: DataFrame, hours: int = 2, opening: int = 8, closing: int = 22
+    feed: DataFrame, hours: int = 2, opening: int = 8, closing: int = 22, stores: DataFrame | None = None
 ) -> DataFrame:
-    """Store silences of at least ``hours`` whose alert falls in opening hours: last ticket seen,
-    moment of the alert, and the ticket that ended it (NULL while the store is still silent, which
-    only counts once the feed itself has moved past the alert)."""
+    """Store silences of at least ``hours`` of opening time: last ticket seen, moment of the alert,
+    and the ticket that ended it (NULL while the store is still silent, which only counts once the
+    feed itself has moved past the alert).  With ``stores`` (the active ones), a store that never
+    reported is silent from the start of the feed; its last ticket is NULL."""
     if hours < 1:
         raise ValueError("hours must be at least 1")
     now = feed.agg(F.max("ts")).scalar()
@@ -157,12 +227,15 @@ def silent_intervals(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
     following = F.lead("first_ts").over(Window.partitionBy("store_id").orderBy("hour"))
-    alert_hour = F.hour("alert_at")
+    seen = extremes.select("store_id", "last_ts", following.alias("next_ts"), F.col("last_ts").alias("since"))
+    if stores is not None:
+        began = feed.agg(F.min("ts")).scalar()
+        absent = stores.select("store_id").distinct().join(extremes.select("store_id").distinct(), "store_id", "left_anti")
+        none = F.lit(None).cast("timestamp")
+        seen = seen.unionByName(absent.select("store_id", none.alias("last_ts"), none.alias("next_ts"), began.alias("since")))
     return (
-        extremes.withColumn("next_ts", following)
-        .withColumn("alert_at", F.col("last_ts") + F.make_dt_interval(hours=F.lit(hours)))
+        seen.withColumn("alert_at", alert_time(F.col("since"), hours, opening, closing))
         .filter(F.coalesce("next_ts", now) >= F.col("alert_at"))
-        .filter((alert_hour >= opening) & (alert_hour < closing))
         .select("store_id", "last_ts", "alert_at", "next_ts")
     )
 

@@ -17,9 +17,9 @@ WITH stores AS (
 vendors AS (
   SELECT s_suppkey AS vendor_id, s_name AS vendor_name, CAST(s_nationkey AS VARCHAR) AS country,
          CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS tier, s_acctbal > 0 AS is_shared_catalog
-  FROM supplier WHERE s_suppkey < 10),
+  FROM supplier),
 products AS (
-  SELECT p_partkey AS item_id, p_name AS item_name, p_brand AS brand, p_partkey % 11 AS vendor_id,
+  SELECT p_partkey AS item_id, p_name AS item_name, p_brand AS brand, CASE WHEN p_partkey % 11 = 10 THEN -1 ELSE p_partkey % 10 END AS vendor_id,
          p_type AS category, 'Dep ' || substr(p_type, 1, 3) AS department, p_retailprice * CAST(0.6 AS DOUBLE) AS cost
   FROM part),
 transactions AS (
@@ -69,8 +69,9 @@ def div(top: str, bottom: str) -> str:
 
 
 def key(*parts: str) -> str:
-    text = " || '|' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT)"
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    text = " || ".join(f"COALESCE(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)
+    return f"CASE WHEN COALESCE({', '.join(texts)}) IS NOT NULL THEN CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT) END"
 
 
 SALTED = "sha256('benchmark-salt' || CAST(customer_id AS VARCHAR))"
@@ -88,7 +89,11 @@ def oracle(name: str, body: str) -> None:
 # ---------------------------------------------------------------- sources, sinks, SQL
 oracle("load_csv", """
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(customer_id AS VARCHAR) AS customer_id,
-       transaction_date, CAST(store_id AS VARCHAR) AS store_id, total_amount, payment_method, loyalty_card, status
+       transaction_date, CAST(store_id AS VARCHAR) AS store_id, total_amount,
+       'a "quoted", ' || payment_method AS payment_method, loyalty_card, status
+FROM transactions""")
+oracle("load_csv_bad_rows", """
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, IF(transaction_id % 17 = 0, 'total_amount', '') AS failed
 FROM transactions""")
 oracle("load_csv_dates", f"""
 SELECT transaction_id, transaction_date, status, CASE WHEN status = 'RETURNED' THEN -1 ELSE 1 END AS sign,
@@ -775,7 +780,7 @@ oracle("stream_findings", f"""
 SELECT 'Staging' AS dimension, IF(total_amount <= 1, 'nonpositive_amount', 'ok') AS "check", COUNT(*) AS failed,
        (SELECT COUNT(*) FROM feed) AS total, {div('COUNT(*)', '(SELECT COUNT(*) FROM feed)')} * 100 AS pct
 FROM feed WHERE total_amount <= 1 GROUP BY ALL""")
-oracle("stream_dedup", f"SELECT transaction_id, strftime(ts, {TS}) AS ts, store_id, total_amount, status FROM feed")
+oracle("stream_dedup", "SELECT transaction_id, store_id, total_amount, status FROM feed")
 oracle("stream_hourly_sales", f"""
 SELECT strftime(date_trunc('hour', ts), {TS}) AS window_start,
        strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, {TS}) AS window_end, store_id, {_FEED_TOTALS}
@@ -790,17 +795,28 @@ SELECT strftime(ws, {TS}) AS window_start, strftime(we, {TS}) AS window_end, sto
 oracle("rolling_sales", _ROLLING)
 oracle("stream_rolling_sales", _ROLLING + " WHERE we <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM feed)")
 _SILENCE = """
-nexts AS (SELECT store_id, ts, LEAD(ts) OVER (PARTITION BY store_id ORDER BY ts) AS nxt FROM feed),
+nexts AS (SELECT store_id, ts, LEAD(ts) OVER (PARTITION BY store_id ORDER BY ts) AS nxt, ts AS since FROM feed
+  UNION ALL SELECT store_id, NULL, NULL, (SELECT MIN(ts) FROM feed) FROM stores
+  WHERE store_id NOT IN (SELECT store_id FROM feed)),
+-- Opening hours are 8 to 22.  Two of them have passed at since + 2 h if all of that lies within
+-- them, else two hours after the next opening.
+due AS (
+  SELECT *, CAST(since AS DATE) AS d, since - date_trunc('day', since) AS t FROM nexts),
 alerts AS (
-  SELECT store_id, ts, ts + INTERVAL 2 HOUR AS alert_at, nxt FROM nexts
-  WHERE COALESCE(nxt, (SELECT MAX(ts) FROM feed)) >= ts + INTERVAL 2 HOUR
-    AND hour(ts + INTERVAL 2 HOUR) BETWEEN 8 AND 21)
+  SELECT store_id, ts, nxt, CASE
+      WHEN t < INTERVAL 8 HOUR THEN CAST(d AS TIMESTAMP) + INTERVAL 10 HOUR
+      WHEN t < INTERVAL 20 HOUR THEN since + INTERVAL 2 HOUR
+      ELSE CAST(d AS TIMESTAMP) + INTERVAL 34 HOUR END AS alert_at FROM due
+  WHERE COALESCE(nxt, (SELECT MAX(ts) FROM feed)) >= CASE
+      WHEN t < INTERVAL 8 HOUR THEN CAST(d AS TIMESTAMP) + INTERVAL 10 HOUR
+      WHEN t < INTERVAL 20 HOUR THEN since + INTERVAL 2 HOUR
+      ELSE CAST(d AS TIMESTAMP) + INTERVAL 34 HOUR END)
 """
 oracle("silent_intervals", _SILENCE + f"""
 SELECT store_id, strftime(ts, {TS}) AS last_ts, strftime(alert_at, {TS}) AS alert_at, strftime(nxt, {TS}) AS next_ts FROM alerts""")
 oracle("stream_no_data_alert", _SILENCE + f"""
 SELECT store_id, strftime(ts, {TS}) AS last_ts, strftime(alert_at, {TS}) AS alert_at FROM alerts
-WHERE alert_at <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM feed)""")
+WHERE ts IS NOT NULL AND alert_at <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM feed)""")
 oracle("reprocess_window", f"""
 SELECT store_id, strftime(date_trunc('hour', ts), {TS}) AS hour, {_FEED_TOTALS} FROM feed
 WHERE date_trunc('hour', ts) >= (SELECT date_trunc('hour', MAX(ts)) - INTERVAL 72 HOUR FROM feed)

@@ -81,10 +81,28 @@ def _load_csv(spark: SparkSession, directory: str) -> DataFrame:
     path = work_folder(spark, "load-csv")
     source = benchmark.retail_tables(spark, directory)["transactions"]
     text = source.withColumn("loyalty_card", F.when(F.col("loyalty_card"), "True").otherwise("False"))
-    sinks.export(text, path, "csv")
+    quoted = F.concat(F.lit('a "quoted", '), F.col("payment_method"), F.lit("\t"))
+    sinks.export(text.withColumn("payment_method", quoted), path, "csv")
     return files.read_csv_table(spark, path, "transactions")
 
 
+def _with_bad_lines(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """A file in which one amount in seventeen is no number."""
+    path = work_folder(spark, "load-csv-bad")
+    source = benchmark.retail_tables(spark, directory)["transactions"]
+    amount = F.when(F.col("transaction_id") % 17 == 0, "12x.5").otherwise(F.col("total_amount").cast("string"))
+    sinks.export(source.withColumn("total_amount", amount), path, "csv")
+    return files.split_bad_rows(spark, path, "transactions")
+
+
+@session_query("load_csv_bad_rows")
+def _bad_rows(spark: SparkSession, directory: str) -> DataFrame:
+    good, bad = _with_bad_lines(spark, directory)
+    return good.select("transaction_id", F.lit("").alias("failed")).unionAll(
+        bad.select(F.trim("transaction_id"), F.concat_ws(",", files.FAILED))
+    )
+
+
 @query("load_csv_dates")
 def _signed(t: Tables) -> DataFrame:
     return base.signed_transactions(t).select("transaction_id", "transaction_date", "status", "sign", "net_gmv")
@@ -337,7 +355,7 @@ def _ingest(spark: SparkSession, directory: str) -> DataFrame:
     stored = _stream_result(spark, streams.ingest(raw), "ingest", "arrival_date")
     return stored.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
-        (F.length("source_hash") == 64).alias("hashed"), F.col("arrival_date").isNotNull().alias("dated"),
+        (F.length("row_hash") == 64).alias("hashed"), F.col("arrival_date").isNotNull().alias("dated"),
     )
 
 
@@ -355,8 +373,9 @@ def _stream_findings(spark: SparkSession, directory: str) -> DataFrame:
 @session_query("stream_dedup")
 def _dedup(spark: SparkSession, directory: str) -> DataFrame:
     feed = benchmark.event_stream(spark, directory)
-    twice = feed.union(benchmark.event_stream(spark, directory))
-    return _stream_result(spark, streams.dedup_feed(twice), "dedup")
+    resent = benchmark.event_stream(spark, directory).withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.lit(20)))
+    stored = _stream_result(spark, streams.dedup_feed(feed.union(resent)), "dedup")
+    return stored.drop("ts")  # which copy comes first is open
 
 
 @session_query("stream_hourly_sales")
@@ -377,7 +396,8 @@ def _alerts(spark: SparkSession, directory: str) -> DataFrame:
 
 @session_query("silent_intervals")
 def _silent(spark: SparkSession, directory: str) -> DataFrame:
-    return incremental.silent_intervals(benchmark.event_feed(spark, directory))
+    stores = benchmark.retail_tables(spark, directory)["stores"]
+    return incremental.silent_intervals(benchmark.event_feed(spark, directory), stores=stores)
 
 
 @session_query("reprocess_window")
@@ -393,7 +413,8 @@ def _rolling_batch(spark: SparkSession, directory: str) -> DataFrame:
 
 @session_query("freshness_expected")
 def _freshness(spark: SparkSession, directory: str) -> DataFrame:
-    return incremental.freshness_expected(benchmark.event_feed(spark, directory))
+    stores = benchmark.retail_tables(spark, directory)["stores"]
+    return incremental.freshness_expected(benchmark.event_feed(spark, directory), stores=stores)
 
 
 def _load_target(t: Tables) -> DataFrame:
@@ -417,7 +438,8 @@ def _upsert(spark: SparkSession, directory: str) -> DataFrame:
     t = benchmark.retail_tables(spark, directory)
     path = work_folder(spark, "upsert")
     target = sinks.save(_load_target(t), path=path, partition_by=("payment_method",))
-    incremental.upsert_partitions(spark, path, _load_updates(t), ("transaction_id",), "payment_method")
+    keys = ("transaction_id", "payment_method")
+    incremental.upsert_partitions(spark, path, _load_updates(t), keys, "payment_method")
     return spark.read.schema(target.schema).parquet(path).select(*t["transactions"].columns)
 
 

@@ -80,7 +80,7 @@ def retail_tables(spark: SparkSession, directory: str) -> Tables:
 
     def vendors() -> DataFrame:
         supplier = F.col("s_suppkey")
-        return read("supplier").filter(supplier < 10).select(
+        return read("supplier").select(
             supplier.alias("vendor_id"),
             F.col("s_name").alias("vendor_name"),
             F.col("s_nationkey").cast("string").alias("country"),
@@ -93,7 +93,8 @@ def retail_tables(spark: SparkSession, directory: str) -> Tables:
             F.col("p_partkey").alias("item_id"),
             F.col("p_name").alias("item_name"),
             F.col("p_brand").alias("brand"),
-            (F.col("p_partkey") % 11).alias("vendor_id"),
+            # One product in eleven has a vendor that is not in the list.
+            F.when(F.col("p_partkey") % 11 == 10, -1).otherwise(F.col("p_partkey") % 10).alias("vendor_id"),
             F.col("p_type").alias("category"),
             F.concat(F.lit("Dep "), F.substring("p_type", 1, 3)).alias("department"),
             (F.col("p_retailprice") * 0.6).alias("cost"),

@@ -1,8 +1,9 @@
 """Typed readers for the six base tables.
 
-CSV columns are read as text with an explicit schema (one pass, no inference), trimmed, and a
-blank becomes NULL.  A row whose text cannot be cast is not lost: ``split_bad_rows`` returns it
-with the list of columns that failed.
+CSV columns are read as text with an explicit schema (one pass, no inference; quotes inside a quoted
+value are doubled), stripped of white space, and a blank becomes NULL.  Text that cannot be cast and
+lines of the wrong shape are never lost without a word: reading stops at them, or
+``split_bad_rows`` returns them with what failed.
 """
 
 from __future__ import annotations
@@ -17,13 +18,19 @@ CORRUPT = "_corrupt_record"
 FAILED = "_failed_columns"
 
 
-def _text(column: str) -> Column:
-    # The first header of a file written with a byte-order mark may carry U+FEFF into values.
-    return F.nullif(F.trim(F.regexp_replace(F.col(column), "^﻿", "")), F.lit(""))
+#: What a value is stripped of.
+BLANKS = " \t\n\r\v\f\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BYTE_ORDER_MARK = "\ufeff"
 
 
-def _typed(field: T.StructField) -> Column:
-    text = _text(field.name)
+def _text(column: str, first: bool = False) -> Column:
+    # Only the first column of a file can carry its byte-order mark.
+    blanks = BLANKS + BYTE_ORDER_MARK if first else BLANKS
+    return F.nullif(F.trim(F.col(column), F.lit(blanks)), F.lit(""))
+
+
+def _typed(field: T.StructField, first: bool = False) -> Column:
+    text = _text(field.name, first)
     if isinstance(field.dataType, T.BooleanType):
         return F.coalesce(F.lower(text) == "true", F.lit(False))
     if isinstance(field.dataType, T.DateType):
@@ -31,26 +38,39 @@ def _typed(field: T.StructField) -> Column:
     return text.try_cast(field.dataType)
 
 
-def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, whole_lines: bool = False) -> DataFrame:
+def _checked(field: T.StructField, first: bool) -> Column:
+    """The typed value; the job stops at text that has none."""
+    text, typed = _text(field.name, first), _typed(field, first)
+    if isinstance(field.dataType, (T.StringType, T.BooleanType)):
+        return typed
+    message = F.concat(F.lit(f"{field.name} is not of type {field.dataType.simpleString()}: "), text)
+    return F.when(text.isNotNull() & typed.isNull(), F.raise_error(message)).otherwise(typed)
+
+
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
     columns = [T.StructField(f.name, T.StringType()) for f in schema]
-    text_schema = T.StructType([*columns, T.StructField(CORRUPT, T.StringType())])
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if mode == "PERMISSIVE" else []
     return (
-        spark.read.schema(text_schema)
+        spark.read.schema(T.StructType([*columns, *corrupt]))
         .option("header", True)
         .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
+        .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
+        .option("escape", '"')
+        .option("multiLine", False)
         # A line of the wrong shape is only seen when no column is pruned from the parse.
-        .option("columnPruning", not whole_lines)
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Typed scan of one base table; text that fails its cast becomes NULL."""
+    """Typed scan of one base table.  A line of the wrong shape or text that does not cast stops the
+    job; ``split_bad_rows`` reads such files."""
     schema = SCHEMAS[table]
-    return _raw_csv(spark, path, schema).select(*[_typed(f).alias(f.name) for f in schema])
+    raw = _raw_csv(spark, path, schema, "FAILFAST")
+    return raw.select(*[_checked(f, k == 0).alias(f.name) for k, f in enumerate(schema)])
 
 
 def split_bad_rows(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
@@ -58,14 +78,14 @@ def split_bad_rows(spark: SparkSession, path: str, table: str) -> tuple[DataFram
     wrong shape, and the names of the columns whose text did not cast."""
     schema = SCHEMAS[table]
     failures = [
-        F.when(_text(f.name).isNotNull() & _typed(f).isNull(), F.lit(f.name))
-        for f in schema
+        F.when(_text(f.name, k == 0).isNotNull() & _typed(f, k == 0).isNull(), F.lit(f.name))
+        for k, f in enumerate(schema)
         if not isinstance(f.dataType, (T.StringType, T.BooleanType))
     ]
     failed = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
-    marked = _raw_csv(spark, path, schema, whole_lines=True).withColumn(FAILED, failed)
+    marked = _raw_csv(spark, path, schema).withColumn(FAILED, failed)
     is_bad = F.col(CORRUPT).isNotNull() | (F.size(FAILED) > 0)
-    good = marked.filter(~is_bad).select(*[_typed(f).alias(f.name) for f in schema])
+    good = marked.filter(~is_bad).select(*[_typed(f, k == 0).alias(f.name) for k, f in enumerate(schema)])
     return good, marked.filter(is_bad)
 
 

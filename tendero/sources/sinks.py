@@ -47,7 +47,7 @@ def export(df: DataFrame, path: str, fmt: str = "csv", lines: int | None = None)
     out = df if lines is None else df.limit(lines)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     elif fmt == "json":
         writer.option("ignoreNullFields", False).json(path)
     else:

@@ -7,14 +7,11 @@ checkpoint lives beside it on shared storage, so a lost executor or driver resum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tendero.functions import net_amount, ratio
-from tendero.operators.incremental import upsert_partitions
+from tendero.functions import net_amount, ratio, row_hash
+from tendero.operators.incremental import alert_time, upsert_partitions
 
 VALID = "ok"
 
@@ -34,17 +31,28 @@ def run_available(
 
 
 def ingest(raw: DataFrame) -> DataFrame:
-    """Raw rows with where they came from: source file, its fingerprint, and the arrival date to
-    partition by.  ``raw`` must be a file stream, which carries ``_metadata``."""
-    source = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    """Raw rows with where they came from: source file, a digest of their content, and the arrival
+    date to partition by.  ``raw`` must be a file stream, which carries ``_metadata``.  A file's
+    fingerprint is ``file_fingerprints`` of its rows, whatever it is called."""
     return raw.select(
         "*",
         F.col("_metadata.file_path").alias("source_file"),
-        F.sha2(F.to_json(source), 256).alias("source_hash"),
+        row_hash(raw.columns).alias("row_hash"),
         F.to_date(F.col("_metadata.file_modification_time")).alias("arrival_date"),
     )
 
 
+def file_fingerprints(ingested: DataFrame) -> DataFrame:
+    """By file: its rows, and a digest of their content that depends neither on their order nor on
+    the file's name, so a file that is sent again is recognised."""
+    parts = [F.conv(F.substring("row_hash", at, 8), 16, 10).cast("decimal(38,0)") for at in (1, 9, 17, 25)]
+    sums = [F.sum(p).cast("string") for p in parts]
+    counted = F.count("*")
+    return ingested.groupBy("source_file").agg(
+        counted.alias("rows"), F.sha2(F.concat_ws("|", counted.cast("string"), *sums), 256).alias("source_hash")
+    )
+
+
 def verdict(min_amount: float = 0.0) -> Column:
     """The first check a row fails, or ``ok``."""
     return (
@@ -73,23 +81,8 @@ def rejection_findings(checked: DataFrame) -> DataFrame:
     )
 
 
-def _first_copies(keys: list[str]):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            copies = batch.select(keys).to_pandas().duplicated().to_numpy()
-            yield batch.filter(pa.array(~copies))
-
-    return keep
-
-
-def dedup_feed(
-    feed: DataFrame, keys: tuple[str, ...] = ("transaction_id",), delay: str = "2 hours", combine: bool = True
-) -> DataFrame:
-    """One row per key among rows less than ``delay`` apart.  Copies inside a task's own batches
-    are dropped before the shuffle, so a ticket resent very many times does not travel whole to
-    the task that owns its state."""
-    if combine:
-        feed = feed.mapInArrow(_first_copies(list(keys)), feed.schema)
+def dedup_feed(feed: DataFrame, keys: tuple[str, ...] = ("transaction_id",), delay: str = "2 hours") -> DataFrame:
+    """One row per key among rows less than ``delay`` apart."""
     return feed.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -124,25 +117,28 @@ def rolling_sales_stream(
 def no_data_alerts(
     feed: DataFrame, silence_hours: int = 2, delay: str = "2 hours", opening: int = 8, closing: int = 22
 ) -> DataFrame:
-    """A store's activity is a session that ends once it has been silent for ``silence_hours``; a
-    closed session ending in opening hours is an alert."""
-    sessions = (
-        feed.withWatermark("ts", delay)
-        .groupBy(F.session_window("ts", f"{silence_hours} hours").alias("session"), "store_id")
+    """Stores that were silent for ``silence_hours`` of opening time.  A ticket keeps its store's
+    session open until the alert that it would lead to, over night as well, so a session that
+    closes is an alert.  Stores that never sent a ticket are found by ``silent_intervals``."""
+    due = alert_time(F.col("ts"), silence_hours, opening, closing)
+    gap = due.cast("double") - F.col("ts").cast("double")
+    return (
+        feed.withColumn("gap", F.concat(F.ceil(gap * 1_000_000).cast("string"), F.lit(" microseconds")))
+        .withWatermark("ts", delay)
+        .groupBy(F.session_window("ts", F.col("gap")).alias("session"), "store_id")
         .agg(F.count("*").alias("tickets"), F.max("ts").alias("last_ts"))
+        .select(
+            "store_id", "tickets", "last_ts",
+            alert_time(F.col("last_ts"), silence_hours, opening, closing).alias("alert_at"),
+        )
     )
-    # The end is taken from the newest ticket, not from the window: a filter on the window column
-    # is pushed below the aggregate, where it sees single tickets instead of merged sessions.
-    alert_at = F.col("last_ts") + F.make_dt_interval(hours=F.lit(silence_hours))
-    in_hours = (F.hour(alert_at) >= opening) & (F.hour(alert_at) < closing)
-    return sessions.select("store_id", "tickets", "last_ts", alert_at.alias("alert_at")).filter(in_hours)
 
 
 def upsert_stream(
     feed: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...], partition: str, version: str
 ) -> None:
-    """Apply each micro-batch to a partitioned Parquet table.  The upsert is idempotent: a batch
-    replayed after a failure finds its rows unchanged."""
+    """Apply each micro-batch to a partitioned Parquet table that holds the version.  The upsert is
+    idempotent and older versions never win: a batch that is replayed, or comes late, changes nothing."""
 
     def apply(batch: DataFrame, _: int) -> None:
         upsert_partitions(batch.sparkSession, path, batch, keys, partition, version)

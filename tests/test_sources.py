@@ -18,10 +18,12 @@ CSV = (
 def test_csv_cleaning(spark, tmp_path):
     path = tmp_path / "transactions.csv"
     path.write_text(CSV, encoding="utf-8")
-    rows = records(files.read_csv_table(spark, str(path), "transactions"))
+    good, _ = files.split_bad_rows(spark, str(path), "transactions")
+    rows = records(good)
     assert rows[0] == ("T1", None, day("2025-01-02"), "S1", 10.5, "CASH", True, "COMPLETED")
     assert rows[1] == ("T2", "C1", day("2025-01-03"), "S1", None, "CARD", False, "RETURNED")
-    assert rows[2][2] is None and rows[2][4] is None and rows[2][6] is False
+    with pytest.raises(Exception, match="is not of type"):
+        files.read_csv_table(spark, str(path), "transactions").collect()
 
 
 def test_bad_rows_are_kept_with_their_reason(spark, tmp_path):
@@ -121,3 +123,38 @@ def test_reports_and_dashboard_export(make, spark, tmp_path):
     retention = spark.read.json(str(tmp_path / "dash" / "retention"))
     assert records(retention, "cohort", "m0") == [("2025-02", 100.0)]
     assert {"store_name", "item_name", "dias_sin_venta"} <= set(spark.read.json(str(tmp_path / "dash" / "stock")).columns)
+
+
+def test_quotes_commas_and_blanks_survive(spark, tmp_path):
+    path = tmp_path / "stores.csv"
+    path.write_text(
+        "\ufeffstore_id,store_name,country,city,format,size_sqm,opening_date,region\n"
+        '\ufeffS1,"Tienda ""La, Paz""",CR,\t,EXPRESS\t,100,2023-01-01,Sur\u00a0\n', encoding="utf-8"
+    )
+    row = files.read_csv_table(spark, str(path), "stores").collect()[0]
+    assert (row.store_id, row.store_name, row.country, row.city, row.format, row.region) == (
+        "S1", 'Tienda "La, Paz"', "CR", None, "EXPRESS", "Sur",
+    )
+
+
+@pytest.mark.parametrize("line", ["1,,2024-01-01,S1,12x.5,CASH,True,COMPLETED", "1,,2024-01-01"])
+def test_bad_lines_stop_a_plain_read(spark, tmp_path, line):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        "transaction_id,customer_id,transaction_date,store_id,total_amount,payment_method,loyalty_card,status\n"
+        f"{line}\n2,,2024-01-01,S1,5.0,CASH,True,COMPLETED\n"
+    )
+    with pytest.raises(Exception, match="total_amount|MALFORMED"):
+        files.read_csv_table(spark, str(path), "transactions").select("transaction_id", "total_amount").collect()
+    good, bad = files.split_bad_rows(spark, str(path), "transactions")
+    assert (good.count(), bad.count()) == (1, 1)
+
+
+def test_exported_csv_reads_back_elsewhere(spark, tmp_path):
+    import csv
+
+    values = ['a "quoted", value', "plain", "tab\there", 'ends with "']
+    sinks.export(spark.createDataFrame([(v,) for v in values], "x string").coalesce(1), str(tmp_path / "out"), "csv")
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    with part.open(newline="") as f:
+        assert [r["x"] for r in csv.DictReader(f)] == values

@@ -83,20 +83,41 @@ def test_alerts_match_the_batch_twin(spark, tmp_path):
 def test_ingest_carries_source_and_fingerprint(spark, tmp_path):
     out = drain(spark, tmp_path, [[(1, at(9), 1, 1.0)], [(2, at(9), 1, 1.0)]], streams.ingest, ("arrival_date",))
     rows = out.collect()
-    assert len({r.source_hash for r in rows}) == 2 and all(r.source_file.endswith(".parquet") for r in rows)
+    assert len({r.row_hash for r in rows}) == 2 and all(r.source_file.endswith(".parquet") for r in rows)
     assert all(r.arrival_date is not None for r in rows)
 
 
+def test_a_file_sent_again_has_the_same_fingerprint(spark, tmp_path):
+    batch = [(1, at(9), 1, 1.0), (2, at(10), 1, 2.0)]
+    out = drain(spark, tmp_path, [batch, batch[::-1], batch[:1]], streams.ingest, ("arrival_date",))
+    found = streams.file_fingerprints(out).collect()
+    assert len(found) == 3 and sorted(r.rows for r in found) == [1, 2, 2]
+    assert len({r.source_hash for r in found}) == 2
+
+
+def test_dedup_counts_copies_in_event_time(spark, tmp_path):
+    big = 9007199254740992
+    out = drain(
+        spark, tmp_path,
+        [
+            [(1, at(12), 1, 1.0)],
+            [(2, at(5), 1, 1.0), (2, at(12, 5), 1, 1.0), (big, at(12, 6), 1, 1.0), (big + 1, at(12, 6), 1, 1.0), (None, at(12, 6), 1, 1.0)],
+        ],
+        streams.dedup_feed,
+    )
+    assert records(out, "transaction_id") == [(None,), (1,), (2,), (big,), (big + 1,)]
+
+
 def test_upsert_stream_replay_changes_nothing(spark, tmp_path):
     path, source = str(tmp_path / "table"), str(tmp_path / "in")
-    columns = "transaction_id long, total_amount double, p string"
-    spark.createDataFrame([(1, 1.0, "x")], columns).write.partitionBy("p").parquet(path)
-    for batch in ([(1, 2.0, "x", 1), (1, 3.0, "x", 2), (2, 5.0, "y", 1)], [(2, 6.0, "y", 3)]):
-        spark.createDataFrame(batch, columns + ", ver int").coalesce(1).write.mode("append").parquet(source)
+    columns = "transaction_id long, total_amount double, p string, ver int"
+    spark.createDataFrame([(1, 1.0, "x", 0)], columns).write.partitionBy("p").parquet(path)
+    for batch in ([(1, 2.0, "x", 1), (1, 3.0, "x", 2), (2, 5.0, "y", 1)], [(2, 6.0, "y", 3), (1, 9.0, "x", 1)]):
+        spark.createDataFrame(batch, columns).coalesce(1).write.mode("append").parquet(source)
 
     def run(checkpoint):
-        stream = spark.readStream.schema(columns + ", ver int").option("maxFilesPerTrigger", 1).parquet(source)
-        streams.upsert_stream(stream, path, str(tmp_path / checkpoint), ("transaction_id",), "p", "ver")
+        stream = spark.readStream.schema(columns).option("maxFilesPerTrigger", 1).parquet(source)
+        streams.upsert_stream(stream, path, str(tmp_path / checkpoint), ("transaction_id", "p"), "p", "ver")
         return records(spark.read.parquet(path), "transaction_id", "total_amount", "p")
 
     first = run("c1")
