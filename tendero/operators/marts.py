@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tendero.functions import line_amount, money, net_amount, ratio, signed, surrogate_key, transaction_count, week_start
 from tendero.operators.base import DateLike
-from tendero.operators.cohorts import cohort_activity, customer_first_month
+from tendero.operators.cohorts import cohort_activity
 from tendero.operators.stockgaps import STORE_ITEM, stock_gaps
-from tendero.schemas import RETURNED, Tables
+from tendero.schemas import COMPLETED, RETURNED, Tables
 
 ANONYMOUS_KEY = "-1"
 PROMOTION_COLUMNS = ("promo_name", "variant", "start_date", "end_date", "promo_type")
@@ -76,12 +76,15 @@ def dim_vendor(tables: Tables) -> DataFrame:
 def dim_customer(tables: Tables, salt: str) -> DataFrame:
     """Hashed customers with their loyalty segment and first purchase month.  The customer id
     itself does not leave this function."""
+    bought = F.col("loyalty_card") & (F.col("status") == COMPLETED)
     customers = (
         tables["transactions"]
         .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(F.bool_or("loyalty_card").alias("loyal"))
-        .join(customer_first_month(tables), "customer_id", "left")
+        .agg(
+            F.bool_or("loyalty_card").alias("loyal"),
+            F.trunc(F.min(F.when(bought, F.col("transaction_date"))), "MM").alias("mes_primera_compra"),
+        )
     )
     known = customers.select(
         customer_key("customer_id", salt).alias("customer_key"),

@@ -80,8 +80,8 @@ def pareto_top_by_format(pareto_rows: DataFrame, k: int = 3) -> DataFrame:
 def category_share(tables: Tables, category: str | None = None) -> DataFrame:
     """Share of each category (or of one) in all net item sales."""
     totals = net_item_sales(tables).groupBy("category").agg(F.sum("net_line_gmv").alias("net_line_gmv"))
-    overall = totals.agg(F.sum("net_line_gmv")).scalar()
-    shares = totals.withColumn("share", ratio("net_line_gmv", overall))
+    # A window over the few categories: a scalar subquery would read the facts a second time.
+    shares = totals.withColumn("share", ratio("net_line_gmv", F.sum("net_line_gmv").over(Window.partitionBy(F.lit(1)))))
     return shares if category is None else shares.filter(F.col("category") == category)
 
 
@@ -147,24 +147,26 @@ def vendor_margin_worst(margins: DataFrame, n: int = 5) -> DataFrame:
 def promo_impact_long(tables: Tables) -> DataFrame:
     """Averages per category and promotion flag over (ticket, category) pairs.
 
-    Lines collapse to (ticket, category) before the ticket join, so a ticket with very many
-    lines is combined on the map side.  A ticket counts once in each category it holds."""
+    Completed tickets are joined first, so returned ones are not carried on, and the join's
+    partitioning by ticket serves the reduction to (ticket, category): lines move once.  Adaptive
+    execution splits a ticket with very many lines.  A ticket counts once in each category."""
     lines = tables["transaction_items"].select(
         "transaction_id", "item_id", "quantity", "was_on_promo", line_amount().alias("line")
     )
+    tickets = completed(tables).select("transaction_id", money("total_amount").alias("ticket"))
     pairs = (
         lines.join(tables["products"].select("item_id", "category"), "item_id")
+        .join(tickets, "transaction_id")
         .groupBy("transaction_id", "category")
         .agg(
             F.bool_or("was_on_promo").alias("promo_tx"),
             F.sum("quantity").alias("units"),
             F.sum("line").alias("line"),
+            F.max("ticket").alias("ticket"),
         )
     )
-    tickets = completed(tables).select("transaction_id", money("total_amount").alias("ticket"))
     return (
-        pairs.join(tickets, "transaction_id")
-        .groupBy("category", "promo_tx")
+        pairs.groupBy("category", "promo_tx")
         .agg(
             F.count("*").alias("transactions"),
             ratio(F.sum("line"), F.count("line")).alias("avg_category_gmv"),
@@ -231,7 +233,7 @@ def category_recommendation(
         .groupBy("category")
         .agg(F.sum("line").alias("ventas_brutas_categoria"), idle.alias("productos_tienda_con_gap_activo"))
     )
-    overall = by_category.agg(F.sum("ventas_brutas_categoria")).scalar()
+    overall = F.sum("ventas_brutas_categoria").over(Window.partitionBy(F.lit(1)))
     share, gaps = F.col("participacion_ventas"), F.col("productos_tienda_con_gap_activo")
     return by_category.withColumn("participacion_ventas", ratio("ventas_brutas_categoria", overall)).select(
         "category", "ventas_brutas_categoria", "participacion_ventas", "productos_tienda_con_gap_activo",

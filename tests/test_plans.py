@@ -7,15 +7,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tendero.plans import registry as entry
 from tendero.sources import benchmark
-from tendero.operators import cohorts, mix, sales, stockgaps
+from tendero.operators import cohorts, marts, mix, sales, stockgaps
 
 DIRECTORY = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="benchmark data not present")
 
 STREAMED = {n for n in entry.queries() if n.startswith("stream_")}
-STORED = {"load_csv", "save_table", "run_marts", "export_csv", "export_json", "upsert_partitions"}
+STORED = {"load_csv", "save_table", "run_marts", "export_csv", "export_json", "upsert_partitions", "load_csv_bad_rows"}
 
 
 def plan_of(df) -> str:
@@ -40,6 +40,17 @@ def test_no_cross_join_and_no_forced_broadcast(name, spark, no_broadcast):
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python
 
 
+def test_one_fact_join_for_shares_of_a_total(spark, no_broadcast):
+    t = benchmark.retail_tables(spark, DIRECTORY)
+    for frame in (mix.category_recommendation(t, "2001-08-01"), mix.category_share(t)):
+        assert plan_of(frame).count("FileScan parquet [l_orderkey") == 1
+
+
+def test_customers_in_one_pass(spark):
+    t = benchmark.retail_tables(spark, DIRECTORY)
+    assert len(re.findall(r"FileScan parquet \[o_", plan_of(marts.dim_customer(t, "salt")))) == 1
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     t = benchmark.retail_tables(spark, DIRECTORY)
     plan = plan_of(sales.comp_sales_store(t, "2001-01-01", "2001-06-30"))
@@ -59,6 +70,7 @@ def test_stock_gaps_prunes_lines_and_uses_one_window(spark):
 def test_lines_combine_before_they_shuffle(spark, no_broadcast):
     t = benchmark.retail_tables(spark, DIRECTORY)
     pairs = plan_of(mix.promo_impact_long(t))
-    assert re.search(r"Exchange hashpartitioning\(transaction_id#\d+L, category#\d+[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", pairs)
+    # The ticket join's partitioning serves the (ticket, category) reduction: no exchange for it.
+    assert not re.search(r"Exchange hashpartitioning\(transaction_id#\d+L, category#\d+", pairs)
     cohort = plan_of(cohorts.cohort_activity(t))
     assert "partial_count(distinct" not in cohort and cohort.count("SortMergeJoin") == 1  # orders with customers only
