@@ -9,9 +9,10 @@ filter).  Values that thousands of documents hold through one passage are thus h
 
 Short lists give all their pairs; the members of long lists are compared with the list's centre.
 From these, each node's most promising pairs are verified on full sets and joined to components.
-Then all other pairs across components are tried: those of long lists only as far as the distances to
-the centre allow a link (triangle inequality), all of them only if the union of the two sketches
-does not rule it out.  Pairs inside a component cannot change it and are left out.
+Then the other pairs across components are tried, unless the union of their sketches rules a link
+out.  Where a long list still holds several components, its pairs come from full sets instead: a link
+needs 3 / 7 of both sizes in common, so values that no other such node holds come first, and nodes
+with too many of them meet nobody.  Pairs inside a component cannot change it and are left out.
 
 Edge cases: a null or empty text has an empty set and is linked with nothing; fewer words than five
 are one shingle; rows with equal doc_id count as one document where their texts are linked; rows with a
@@ -66,6 +67,17 @@ class _Words(dict):
         return found
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _list_array(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+    values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
+
+
 class Shingles:
     """The sorted distinct 64-bit hashes of a text's shingles."""
 
@@ -100,13 +112,11 @@ def sets(docs: DataFrame, k: int) -> DataFrame:
         def work(batch: pa.RecordBatch) -> dict:
             found = [shingles(t) for t in batch.column("text").to_pylist()]
             digest = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found]
-            ends = np.concatenate([[0], np.cumsum([min(k, len(x)) for x in found])]).astype(np.int32)
-            values = np.concatenate([x[:k] for x in found]) if found else np.zeros(0, np.uint64)
             return {
                 **{c: batch.column(c) for c in ("doc_id", "crc")},
                 "n": pa.array(map(len, found), pa.int64()),
                 "digest": pa.array(digest, pa.binary()),
-                "sketch": pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))),
+                "sketch": _list_array([x[:k] for x in found]),
             }
 
         return work
@@ -194,8 +204,7 @@ class NearDuplicates:
         def make():
             def work(batch: pa.RecordBatch) -> dict:
                 shared, union = [], []
-                for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                for x, y in zip(_lists(batch.column("x")), _lists(batch.column("y")), strict=True):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     shared.append(both)
                     union.append(len(x) + len(y) - both)
@@ -228,20 +237,20 @@ class NearDuplicates:
             def work(batch: pa.RecordBatch) -> dict:
                 rows = []
                 for node, digest, text in zip(*(batch.column(c).to_pylist() for c in ("node", "digest", "text")), strict=True):
-                    held = shingles(text).tobytes()
-                    own = hashlib.blake2b(held, digest_size=16).digest()
+                    held = shingles(text)
+                    own = hashlib.blake2b(held.tobytes(), digest_size=16).digest()
                     if digest is None or digest == own:  # an id may stand for several texts
                         rows.append((node, own, held))
                 columns = list(zip(*rows, strict=True)) if rows else [()] * 3
                 return {
                     "node": pa.array(columns[0], pa.int64()),
                     "digest": pa.array(columns[1], pa.binary()),
-                    "set": pa.array(columns[2], pa.binary()),
+                    "set": _list_array(list(columns[2])),
                 }
 
             return work
 
-        schema = "node long, digest binary, set binary"
+        schema = "node long, digest binary, set array<long>"
         named = docs.join(nodes.withColumnRenamed("first", "doc_id"), "doc_id").select("node", "digest", "text")
         nameless = docs.where("doc_id IS NULL").selectExpr("CAST(NULL AS LONG) AS node", "CAST(NULL AS BINARY) AS digest", "text")
         by_digest = nodes.where("first IS NULL").select("digest", F.col("node").alias("own"))
@@ -249,6 +258,26 @@ class NearDuplicates:
         whole = map_batches(named, make, schema).select("node", "set").unionAll(found.select(F.col("own").alias("node"), "set"))
         self.shingled = materialise(whole, "neardup-sets")
 
+    def of_full_sets(self, nodes: DataFrame) -> DataFrame:
+        """Pairs of nodes (node, n, component) of different components that may be linked: the prefix
+        filter once more, exact, over all values of these nodes."""
+        s = self.s
+        values = self.shingled.join(nodes, "node").select("node", "n", "component", F.explode("set").alias("v"))
+        held = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        by_node = Window.partitionBy("node")
+        ranked = (
+            values.join(held, "v")
+            .withColumn("common", F.count(F.lit(1)).over(by_node))
+            .withColumn("rank", F.row_number().over(by_node.orderBy("df", "v")))
+        )
+        first = F.col("n") - F.col("common") + F.col("rank") <= F.col("n") - F.ceil(F.col("n") * s.threshold) + 1
+        kept = materialise(ranked.where(first).select("v", "node", "n", "common", "component"), "neardup-prefixes")
+        a, b = (kept.select("v", *(F.col(c).alias(f"{c}_{x}") for c in kept.columns[1:])) for x in ("a", "b"))
+        # J >= t needs t / (1 + t) of both sizes in common.
+        enough = (s.shared + s.union) * F.least("common_a", "common_b") >= s.shared * (F.col("n_a") + F.col("n_b"))
+        met = a.join(b, "v").where("node_a < node_b AND component_a != component_b").where(enough).where(self.similar_sizes())
+        return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
     def links(self) -> DataFrame:
         """Links that join all nodes which any links join."""
         s = self.s
@@ -263,14 +292,9 @@ class NearDuplicates:
             "neardup-long",
         )
 
-        def meet(lists: DataFrame, *more: str) -> DataFrame:
-            sides = [
-                lists.select("v", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in more))
-                for x in ("a", "b")
-            ]
-            return sides[0].join(sides[1], "v").where(F.col("a") < F.col("b")).where(self.similar_sizes())
-
-        pairs = materialise(meet(short).groupBy("a", "b").agg(F.count(F.lit(1)).alias("met")), "neardup-pairs")
+        a, b = (short.select("v", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b"))
+        met = a.join(b, "v").where(F.col("a") < F.col("b")).where(self.similar_sizes())
+        pairs = materialise(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met")), "neardup-pairs")
         best = lambda x, y: pairs.groupBy(x).agg(F.max_by(y, "met").alias(y)).select("a", "b")
         centred = long.where("node != centre").select(
             F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
@@ -288,24 +312,10 @@ class NearDuplicates:
                 pairs = pairs.join(own, x, "left").withColumn(f"c_{x}", F.coalesce(f"c_{x}", x))
             return pairs.where("c_a != c_b").select("a", "b")
 
-        # In long lists: only where more than one component meets, and where distances allow a link.
-        distance = tried.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("d"))
-        of = distance.unionAll(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-        placed = (
-            long.join(of.select(F.col("a").alias("node"), F.col("b").alias("centre"), "d"), ["node", "centre"], "left")
-            .withColumn("d", F.when(F.col("node") == F.col("centre"), 0.0).otherwise(F.col("d")))
-            .join(joined, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-        )
-        placed = materialise(placed, "neardup-placed")
+        placed = long.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = placed.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-        reach = 1 - s.threshold + 1e-9
-        far = (
-            meet(placed.join(mixed.select("v"), "v"), "d", "component")
-            .where("component_a != component_b")
-            .where(F.abs(F.col("d_a") - F.col("d_b")) <= reach)
-            .select("a", "b")
-        )
+        apart = placed.join(mixed.select("v"), "v").select("node", "n", "component").distinct()
+        far = self.of_full_sets(materialise(apart, "neardup-apart"))
         rest = across(pairs).unionAll(far).distinct().join(first, ["a", "b"], "left_anti")
         more = materialise(self.possible(rest), "neardup-rest")
         return links.unionAll(self.verified(more).where(is_link).select("a", "b"))
