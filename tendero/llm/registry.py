@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendero.llm import classifier, decontam, neardup, packing, rules, secrets, sharding, suffixes, tokens, urls
+from tendero.llm import classifier, decontam, neardup, oracles, packing, rules, secrets, sharding, suffixes, tokens, urls
 from tendero.llm.common import materialise, table  # noqa: F401
 
 
@@ -79,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

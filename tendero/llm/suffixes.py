@@ -129,15 +129,15 @@ def _names(t: np.ndarray, lms: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarr
     return found, int(found.max()) + 1
 
 
-def _doubling(t: np.ndarray, depth: int) -> np.ndarray:
-    """The suffix order of a string of many different names: by ever longer beginnings, up to ``depth``."""
+def _doubling(t: np.ndarray) -> np.ndarray:
+    """The suffix order of a string of many different names: by ever longer beginnings."""
     rank, size = t.astype(np.int64), 1
     while True:
         order = np.argsort(rank, kind="stable")
         ranked = rank[order]
         new = np.r_[True, ranked[1:] != ranked[:-1]]
         dense = np.cumsum(new) - 1
-        if dense[-1] == len(t) - 1 or size >= depth:
+        if dense[-1] == len(t) - 1:
             return order
         rank = np.empty(len(t), np.int64)
         rank[order] = dense
@@ -145,12 +145,12 @@ def _doubling(t: np.ndarray, depth: int) -> np.ndarray:
         size *= 2
 
 
-def suffix_array(t: np.ndarray, symbols: int, depth: int = 1 << 62) -> np.ndarray:
-    """Suffixes of ``t`` in order, by ``depth`` symbols at least.  The last symbol is 0 and occurs once."""
+def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
+    """Suffixes of ``t`` in order.  The last symbol is 0 and occurs once."""
     if len(t) < 2:
         return np.arange(len(t))
     if symbols > 2048:  # too many buckets to go through one by one
-        return _doubling(t, depth)
+        return _doubling(t)
     smaller = classify(t)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     sizes = np.bincount(t, minlength=symbols)
@@ -160,8 +160,7 @@ def suffix_array(t: np.ndarray, symbols: int, depth: int = 1 << 62) -> np.ndarra
     ranked = array[is_lms[array]]
     names, number = _names(t, lms, ranked)
     if number < len(lms):
-        # Leftmost-smaller places lie two apart at least.
-        ranked = lms[suffix_array(names, number, depth // 2 + 1 if depth < 1 << 61 else depth)]
+        ranked = lms[suffix_array(names, number)]
     return induce(t, smaller, ranked, sizes)
 
 
@@ -213,7 +212,7 @@ def repeated_starts(runs: list[bytes], length: int) -> list[np.ndarray]:
         valid[at : at + len(run) - length + 1] = True
         begins.append(at)
         at += len(run) + 1
-    before, common = permuted_common_prefixes(t, suffix_array(t, 258, depth=length))
+    before, common = permuted_common_prefixes(t, suffix_array(t, 258))
     hits = np.flatnonzero((common >= length) & valid)
     repeats = np.zeros(size, bool)
     repeats[hits] = True
