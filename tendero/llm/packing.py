@@ -10,6 +10,7 @@ table gives an empty result; columns other than doc_id and text do not matter.""
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -36,6 +37,8 @@ class _Words:
     CUT = re.compile(r"(?<=[A-Za-zÀ-ɏ])(?=[,.!%$#*&;?:])").split
 
     def __init__(self, tokenizer: str):
+        # One thread a task: the cores of an executor belong to its tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(tokenizer).encode_batch_fast
