@@ -11,7 +11,6 @@ table gives an empty result; columns other than doc_id and text do not matter.""
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterable
@@ -31,10 +30,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids b
 class _Words:
     """Token ids of the words between spaces, as little-endian bytes.  The tokenizer drops white
     space and looks at no word's neighbours, so a text's ids are those of its words.  Nor does it
-    look beyond a mark that follows a letter (one that no special token or short form holds), so
-    new words are cut there, and their parts encoded together, once for each text."""
+    look beyond marks that follow letters (ones that no special token or short form holds), so new
+    words are cut there, and their parts encoded together, once for each text."""
 
-    CUT = re.compile(r"(?<=[A-Za-zÀ-ɏ])(?=[,.!%$#*&;?:])").split
+    MARKS = ",.!%$#*&;?:"
 
     def __init__(self, tokenizer: str):
         # One thread a task: the cores of an executor belong to its tasks.
@@ -48,15 +47,29 @@ class _Words:
     def learn(self, words: set[str]) -> None:
         if len(self.parts) > PART_LIMIT:
             self.parts = {}
-        cut = {w: [p.lower() if p.isascii() and "<" not in p else p for p in self.CUT(w)] for w in words}
-        fresh = list({p for parts in cut.values() for p in parts}.difference(self.parts))
+        parts, cut, fresh = self.parts, [], set()
+        for word in words:
+            stem = word.rstrip(self.MARKS)
+            plain = stem.isalpha()
+            tail = word[len(stem) :] if plain else ""
+            if not plain:
+                stem = word
+            elif stem.isascii():
+                stem = stem.lower()
+            if stem not in parts:
+                fresh.add(stem)
+            if tail and tail not in parts:
+                fresh.add(tail)
+            cut.append((word, stem, tail))
+        fresh = list(fresh)
         for part, found in zip(fresh, self.encode(fresh, add_special_tokens=False), strict=True):
-            self.parts[part] = array("I", found.ids).tobytes()
-        for word, parts in cut.items():
-            self.words[word] = b"".join([self.parts[p] for p in parts])
+            parts[part] = array("I", found.ids).tobytes()
+        known = self.words
+        for word, stem, tail in cut:
+            known[word] = parts[stem] + parts[tail] if tail else parts[stem]
         for part in fresh:
             if len(part) > WORD_LENGTH:
-                del self.parts[part]
+                del parts[part]
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
