@@ -825,14 +825,16 @@ GROUP BY store_id, date_trunc('hour', ts)""")
 oracle("freshness_expected", f"""
 hourly AS (SELECT store_id, date_trunc('hour', ts) AS h, COUNT(*) AS n FROM feed GROUP BY ALL),
 spine AS (
-  SELECT store_id, UNNEST(generate_series(f, (SELECT MAX(h) FROM hourly), INTERVAL 1 HOUR)) AS h
-  FROM (SELECT store_id, MIN(h) AS f FROM hourly GROUP BY store_id)),
-dense AS (SELECT s.store_id, s.h, COALESCE(n, 0) AS n FROM spine s LEFT JOIN hourly USING (store_id, h)),
+  SELECT store_id, never, UNNEST(generate_series(f, (SELECT MAX(h) FROM hourly), INTERVAL 1 HOUR)) AS h
+  FROM (SELECT store_id, FALSE AS never, MIN(h) AS f FROM hourly GROUP BY store_id
+        UNION ALL SELECT store_id, TRUE, (SELECT MIN(h) FROM hourly) FROM stores
+        WHERE store_id NOT IN (SELECT store_id FROM hourly))),
+dense AS (SELECT s.store_id, never, s.h, COALESCE(n, 0) AS n FROM spine s LEFT JOIN hourly USING (store_id, h)),
 slots AS (
   SELECT *, SUM(n) OVER w AS s, COUNT(*) OVER w AS c FROM dense
   WINDOW w AS (PARTITION BY store_id, dayofweek(h), hour(h) ORDER BY h ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
 SELECT store_id, strftime(h, {TS}) AS hour, n AS tickets, {div('s', 'c')} AS expected,
-       COALESCE(n < {div('s', 'c')} * 0.5, FALSE) AS late FROM slots""")
+       never OR COALESCE(n < {div('s', 'c')} * 0.5, FALSE) AS late FROM slots""")
 _UPDATED = "ROUND(total_amount + IF(status = 'RETURNED', 1, 0), 2)"
 oracle("merge_upsert", f"""
 SELECT * REPLACE ({_UPDATED} AS total_amount),
