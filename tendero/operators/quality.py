@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tendero.functions import line_amount, money, ratio, week_start
+from tendero.functions import line_amount, money, month_index_diff, ratio, week_start
 from tendero.operators.base import DateLike, completed, horizon_or_last, union_all
-from tendero.operators.cohorts import cohort_activity
+from tendero.operators.cohorts import cohort_activity, loyalty_months
 from tendero.operators.experiments import multi_variant_stores
 from tendero.schemas import RETURNED, TABLE_NAMES, WITH_CUSTOMER, WITHOUT_CUSTOMER, Tables
 
@@ -321,9 +321,14 @@ def weekly_ticket_drops(tables: Tables, drop: float = 0.30, weeks: int = 4) -> D
 
 
 def dq_kpi_rules(
-    tables: Tables, horizon: DateLike | None = None, active_days: int = 180, drop: float = 0.30
+    tables: Tables, horizon: DateLike | None = None, active_days: int = 180, drop: float = 0.30,
+    first_months: DataFrame | None = None,
 ) -> DataFrame:
-    """Rules that tell a broken KPI input from a bad week: (rule, failed, total)."""
+    """Rules that tell a broken KPI input from a bad week: (rule, failed, total).
+
+    ``first_months`` is the stored first purchase month (customer_id, mes_primera_compra).  Purchases
+    before it show that it is out of date; without it, cohorts are computed from the tickets
+    themselves, and the rule can only confirm them."""
     last = horizon_or_last(tables, horizon)
     tx, products, stores = tables["transactions"], tables["products"], tables["stores"]
 
@@ -343,6 +348,10 @@ def dq_kpi_rules(
     vendor_known = products.join(
         tables["vendors"].select("vendor_id", F.lit(True).alias("known")), "vendor_id", "left"
     )
+    cohorts = cohort_activity(tables, months=None)
+    if first_months is not None:
+        relative = month_index_diff(F.col("mes_compra"), F.col("mes_primera_compra"))
+        cohorts = loyalty_months(tables).join(first_months, "customer_id").withColumn("mes_relativo", relative)
     return union_all(
         [
             rules(stores, superficie_nula_o_cero=F.col("size_sqm").isNull() | (F.col("size_sqm") <= 0)),
@@ -353,7 +362,7 @@ def dq_kpi_rules(
                 tarjeta_sin_cliente=F.col("customer_id").isNull() & F.col("loyalty_card"),
             ),
             rules(weekly_ticket_drops(tables, drop), caida_de_transacciones=F.col("caida")),
-            rules(cohort_activity(tables, months=None), mes_relativo_negativo=F.col("mes_relativo") < 0),
+            rules(cohorts, mes_relativo_negativo=F.col("mes_relativo") < 0),
             rules(
                 vendor_known,
                 costo_nulo_o_cero=F.col("cost").isNull() | (F.col("cost") <= 0),

@@ -82,6 +82,13 @@ def test_kpi_rules(make):
     assert rules["mes_relativo_negativo"][0] == 0
 
 
+def test_purchases_before_the_stored_first_month(make, spark):
+    t = make([ticket("1", "2025-01-05", customer="C1"), ticket("2", "2025-02-05", customer="C1"), ticket("3", "2025-02-05", customer="C2")])
+    stored = spark.createDataFrame([("C1", day("2025-02-01")), ("C2", day("2025-02-01"))], "customer_id string, mes_primera_compra date")
+    rules = {r.rule: (r.failed, r.total) for r in q.dq_kpi_rules(t, "2025-02-10", first_months=stored).collect()}
+    assert rules["mes_relativo_negativo"] == (1, 3)
+
+
 def test_weekly_drop_needs_history(make):
     tickets = [ticket(f"{w}-{i}", f"2025-01-{6 + 7 * w:02d}") for w, n in enumerate((10, 10, 6, 8)) for i in range(n)]
     got = records(q.weekly_ticket_drops(make(tickets)), "week_start", "tx", "caida")
