@@ -16,8 +16,9 @@ with too many of them meet nobody.  Pairs inside a component cannot change it an
 
 Edge cases: a null or empty text has an empty set and is linked with nothing; fewer words than five
 are one shingle; rows with equal doc_id count as one document where their texts are linked; rows with a
-null doc_id take part, and get component null if their component has no id; an empty table gives an
-empty result; columns other than doc_id and text do not matter."""
+null doc_id take part, and get component null if their component has no id: then the row with the
+smallest text digest is kept; ids may be negative; an empty table gives an empty result; columns other
+than doc_id and text do not matter."""
 
 from __future__ import annotations
 
@@ -103,8 +104,13 @@ class Shingles:
         return np.unique(h)
 
 
+def text_digest(text: F.Column) -> F.Column:
+    """128 bits that stand for a text (null: empty)."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
+
+
 def sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, crc of the text, n (set size), digest of the set, sketch."""
+    """doc_id, digest of the text, n (set size), digest of the set, sketch."""
 
     def make():
         shingles = Shingles()
@@ -113,7 +119,7 @@ def sets(docs: DataFrame, k: int) -> DataFrame:
             found = [shingles(t) for t in batch.column("text").to_pylist()]
             digest = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found]
             return {
-                **{c: batch.column(c) for c in ("doc_id", "crc")},
+                **{c: batch.column(c) for c in ("doc_id", "own")},
                 "n": pa.array(map(len, found), pa.int64()),
                 "digest": pa.array(digest, pa.binary()),
                 "sketch": _list_array([x[:k] for x in found]),
@@ -121,8 +127,8 @@ def sets(docs: DataFrame, k: int) -> DataFrame:
 
         return work
 
-    given = texts(docs).withColumn("crc", F.crc32(F.col("text").cast("binary")))
-    return map_batches(given, make, "doc_id long, crc long, n long, digest binary, sketch array<long>")
+    given = texts(docs).withColumn("own", text_digest(F.col("text")))
+    return map_batches(given, make, "doc_id long, own binary, n long, digest binary, sketch array<long>")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -162,12 +168,14 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, sketching: Sketching = Sketching()):  # noqa: B008
         self.docs, self.s = docs, sketching
-        self.rows = materialise(sets(docs, sketching.k), "neardup-rows")
-        node = F.coalesce(F.min("doc_id"), -1 - F.abs(F.xxhash64("digest") / 2).cast("long"))
+        # Rows and nodes have numbers of their own, so that any id and no id are alike to them.
+        self.rows = materialise(sets(docs, sketching.k).withColumn("row", F.monotonically_increasing_id()), "neardup-rows")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "own", "row"))
         self.nodes = materialise(
             self.rows.where("n > 0")
             .groupBy("digest")
-            .agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), node.alias("node"), F.min("doc_id").alias("first")),
+            .agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), first.alias("first"))
+            .withColumn("node", F.monotonically_increasing_id()),
             "neardup-nodes",
         )
 
@@ -228,34 +236,22 @@ class NearDuplicates:
     def keep_sets(self, pairs: DataFrame) -> None:
         """Full sets of the nodes in ``pairs``, from one of the texts of each."""
         needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        nodes = self.nodes.join(needed, "node", "left_semi").select("node", "digest", "first")
-        docs = texts(self.docs)
+        nodes = self.nodes.join(needed, "node", "left_semi").select("node", "first.*").drop("row")
+        docs = texts(self.docs).withColumn("own", text_digest(F.col("text")))
 
         def make():
             shingles = Shingles()
 
             def work(batch: pa.RecordBatch) -> dict:
-                rows = []
-                for node, digest, text in zip(*(batch.column(c).to_pylist() for c in ("node", "digest", "text")), strict=True):
-                    held = shingles(text)
-                    own = hashlib.blake2b(held.tobytes(), digest_size=16).digest()
-                    if digest is None or digest == own:  # an id may stand for several texts
-                        rows.append((node, own, held))
-                columns = list(zip(*rows, strict=True)) if rows else [()] * 3
-                return {
-                    "node": pa.array(columns[0], pa.int64()),
-                    "digest": pa.array(columns[1], pa.binary()),
-                    "set": _list_array(list(columns[2])),
-                }
+                held = [shingles(t) for t in batch.column("text").to_pylist()]
+                return {"node": batch.column("node"), "set": _list_array(held)}
 
             return work
 
-        schema = "node long, digest binary, set array<long>"
-        named = docs.join(nodes.withColumnRenamed("first", "doc_id"), "doc_id").select("node", "digest", "text")
-        nameless = docs.where("doc_id IS NULL").selectExpr("CAST(NULL AS LONG) AS node", "CAST(NULL AS BINARY) AS digest", "text")
-        by_digest = nodes.where("first IS NULL").select("digest", F.col("node").alias("own"))
-        found = map_batches(nameless, make, schema).join(by_digest, "digest").dropDuplicates(["own"])
-        whole = map_batches(named, make, schema).select("node", "set").unionAll(found.select(F.col("own").alias("node"), "set"))
+        named = docs.join(nodes.where("NOT nameless"), ["doc_id", "own"])
+        nameless = docs.where("doc_id IS NULL").join(nodes.where("nameless").select("node", "own"), "own")
+        of_texts = lambda found: map_batches(found.select("node", "text"), make, "node long, set array<long>")
+        whole = of_texts(named).unionAll(of_texts(nameless).dropDuplicates(["node"]))
         self.shingled = materialise(whole, "neardup-sets")
 
     def of_full_sets(self, nodes: DataFrame) -> DataFrame:
@@ -321,40 +317,45 @@ class NearDuplicates:
         return links.unionAll(self.verified(more).where(is_link).select("a", "b"))
 
     def classes(self) -> DataFrame:
-        """One row a document: doc_id, crc, n_shingles, component_id, kept."""
+        """One row a document: doc_id, own (digest of the text), n_shingles, component_id, kept, and
+        head (whether it is the one row of its component that stands for it)."""
         joined = components(self.links())
+        own = self.nodes.select("node", "digest", "first")
+        linked = materialise(own.join(joined, "node"), "neardup-linked")
+        heads = linked.groupBy("component").agg(F.min("first").alias("least"))
         of_set = (
-            self.nodes.join(joined, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-            .select("digest", F.when(F.col("component") >= 0, F.col("component")).alias("component_id"), "component")
+            linked.join(heads, "component")
+            .select("digest", "least")
+            .unionAll(own.join(joined, "node", "left_anti").select("digest", F.col("first").alias("least")))
+            .select("digest", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("least"))
         )
-        found = self.rows.select("doc_id", "crc", "n", "digest").join(of_set, "digest", "left")
+        found = self.rows.select("doc_id", "own", "n", "digest", "row").join(of_set, "digest", "left")
         component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+        head = (F.col("n") == 0) | (F.col("row") == F.col("least"))
         return found.select(
             "doc_id",
-            "crc",
+            "own",
             F.col("n").alias("n_shingles"),
             component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+            F.when(component.isNull(), head).otherwise(F.col("doc_id").eqNullSafe(component)).alias("kept"),
+            head.alias("head"),
         )
 
 
 def near_duplicates(docs: DataFrame, sketching: Sketching = Sketching()) -> DataFrame:  # noqa: B008
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id that can be reached
-    over links, its own included) and kept (whether it is that document)."""
-    return NearDuplicates(docs, sketching).classes().drop("crc")
+    over links, its own included) and kept (whether it is that document; one row where no id can be
+    reached)."""
+    return NearDuplicates(docs, sketching).classes().drop("own", "head")
 
 
 def representatives(docs: DataFrame, sketching: Sketching = Sketching()) -> DataFrame:  # noqa: B008
-    """The documents of which ``near_duplicates`` keeps one for each component, with all their
-    columns; of rows with the same doc_id and text one stays."""
-    kept = NearDuplicates(docs, sketching).classes().where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("crc").alias("_kept_crc")
-    )
-    given = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn(
-        "_crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    """One document for each component of ``near_duplicates``, with all its columns: the smallest id,
+    then the smallest text digest.  Of rows with the same doc_id and text one stays."""
+    kept = NearDuplicates(docs, sketching).classes().where("head").select(
+        F.col("doc_id").alias("_kept_id"), F.col("own").alias("_kept_text")
     )
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_crc") == F.col("_kept_crc"))
-    alike = Window.partitionBy("_id", "_crc").orderBy("_crc")
-    once = given.join(kept.distinct(), same, "left_semi").withColumn("_copy", F.row_number().over(alike))
-    return once.where("_copy = 1").select(*docs.columns)
+    given = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_digest(F.col("text")))
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
+    once = given.join(kept.distinct(), same, "left_semi").dropDuplicates(["_id", "_text"])
+    return once.select(*docs.columns)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 
 import pytest
 
@@ -97,6 +98,43 @@ def test_representatives_keep_columns_and_one_of_each(corpus):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5]
 
 
+def test_groups_without_an_id_keep_one_row(corpus):
+    rng = random.Random(11)
+    bases = [prose(rng, 60) for _ in range(3)]
+    rows = [(None, f"{base} {prose(rng, 1)}") for base in bases for _ in range(8)]
+    rows += [(None, bases[0])] * 3 + [(40, bases[2]), (None, prose(rng, 30))]
+    found = rows_of(neardup.near_duplicates(corpus(rows)))
+    assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == key(brute(rows))
+    assert sum(r["kept"] for r in found) == 4 and [r["doc_id"] for r in found if r["kept"] and r["component_id"]] == [40]
+    kept = [(r.doc_id, r.text) for r in neardup.representatives(corpus(rows, clashing=True)).collect()]
+    assert len(kept) == 4 and (40, bases[2]) in kept and rows[-1] in kept
+
+
+def test_negative_ids_are_ids(corpus):
+    rng = random.Random(12)
+    base, other = prose(rng, 60), prose(rng, 60)
+    rows = [(-5, base), (-7, f"{base} more"), (3, f"{base} less"), (-1, other), (None, f"{other} more"), (-(2**63), "by itself")]
+    found = rows_of(neardup.near_duplicates(corpus(rows)))
+    assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == key(brute(rows))
+    assert {r["doc_id"] for r in found if r["kept"]} == {-7, -1, -(2**63)}
+    assert {r.doc_id for r in neardup.representatives(corpus(rows)).collect()} == {-7, -1, -(2**63)}
+
+
+def test_one_id_on_several_texts(corpus):
+    rng = random.Random(13)
+    base, other = prose(rng, 60), prose(rng, 60)
+    rows = [(6, base), (6, f"{base} more"), (6, other), (5, f"{other} more")]
+    found = rows_of(neardup.near_duplicates(corpus(rows)))
+    assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == key(brute(rows))
+    assert sorted(r.doc_id for r in neardup.representatives(corpus(rows)).collect()) == [5, 6]
+
+
+def test_texts_with_equal_crc_are_told_apart(corpus):
+    rows = [(None, "plumless"), (None, "buckeroo")]
+    assert zlib.crc32(rows[0][1].encode()) == zlib.crc32(rows[1][1].encode())
+    assert sorted(r.text for r in neardup.representatives(corpus(rows)).collect()) == ["buckeroo", "plumless"]
+
+
 def test_components_of_long_chains(spark):
     chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
     found = neardup.components(spark.createDataFrame(chain, "a long, b long"))
