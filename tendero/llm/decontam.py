@@ -1,14 +1,17 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Each benchmark item is cut into overlapping segments.  A place in a text that equals a segment of
+Each benchmark item is cut into overlapping segments: of 100 characters, and of 13 words (at most 100
+characters) from every word and at least every tenth character on.  So a copied quote of 13 whole words,
+or of 109 characters, holds a whole segment, wherever it begins.  A place in a text that equals a segment of
 length m but for e edits shares at least ``m + 1 - q - q * e`` character q-grams with it, and these
-lie within e + 1 neighbouring diagonals.  So hits are counted in overlapping diagonal bands, regions
-below the bound are passed over without loss, and the others are verified by banded alignment.
+lie within e + 1 neighbouring diagonals.  So hits are counted in overlapping diagonal bands, first for
+whole items, then for the segments of those that have enough for one; regions below the bound are passed
+over without loss, and the others are verified by banded alignment.
 
 The benchmark is a stated query set: it is read in blocks of at most ``block_chars`` characters, each
 of which goes to all texts as one broadcast of bounded size.  The texts are never shuffled.
 
-Letters are compared in lower case and all white space as a space.  Items shorter than q match as
+Letters are compared in lower case and each run of white space as one space.  Items shorter than q match as
 they are.  Edge cases: null or empty texts and items match nothing; repeated rows are reported each;
 a null doc_id or item_id stays null; an empty table gives an empty result; extra columns do not matter."""
 
@@ -25,17 +28,21 @@ from pyspark.sql import DataFrame
 
 from tendero.llm.common import BATCH_ROWS, map_batches, texts
 
-BLANK = re.compile(r"\s")
+BLANKS = re.compile(r"\s+")
+WORD = re.compile(r"\S+")
 STEP = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier for rolling hashes
 
 
 @dataclass(frozen=True)
 class Budget:
-    """q-gram length, segment length, and edits allowed per hundred characters."""
+    """q-gram length, segment length, edits allowed per hundred characters, the words of a short
+    segment, and the most characters between the beginnings of two of them."""
 
     q: int = 10
     segment: int = 100
     edits: int = 8
+    words: int = 13
+    step: int = 10
 
     def allowed(self, length: int) -> int:
         """Never so many that the lemma's bound would fall below one shared q-gram."""
@@ -43,11 +50,32 @@ class Budget:
 
 
 def plain(text: str) -> str:
-    """Lower case and blanks, with every character in its place."""
+    """Lower case, and one blank for each run of white space."""
     lower = text.lower()
     if len(lower) != len(text):
         lower = "".join(x if len(x := c.lower()) == 1 else c for c in text)
-    return BLANK.sub(" ", lower)
+    return BLANKS.sub(" ", lower)
+
+
+def places(text: str) -> np.ndarray:
+    """Where the characters of ``plain(text)`` are in the text."""
+    kept = np.ones(len(text), bool)
+    for run in BLANKS.finditer(text):
+        kept[run.start() + 1 : run.end()] = False
+    return np.flatnonzero(kept)
+
+
+def quotes(text: str, budget: Budget) -> list[tuple[int, int]]:
+    """(start, end) of the short segments, both ascending."""
+    words = [(w.start(), w.end()) for w in WORD.finditer(text)]
+    found = []
+    for k, (a, b) in enumerate(words):
+        last = min(k + budget.words, len(words)) - 1
+        for start in range(a, b, budget.step):
+            end = min(words[last][1], start + budget.segment)
+            if end == start + budget.segment or last - k + 1 == budget.words:
+                found.append((start, end))
+    return found
 
 
 def hashes(text: str, q: int) -> np.ndarray:
@@ -77,34 +105,50 @@ class Index:
     items: list = field(default_factory=list)
     segments: list[tuple[int, int, str]] = field(default_factory=list)  # item, start in it, text
     short: list[tuple[int, str]] = field(default_factory=list)
+    held: list[str] = field(default_factory=list)  # texts of the items, until the index is closed
+    kinds: tuple[list[int], list[int]] = field(default_factory=lambda: ([], []))  # long and short segments
 
     def add(self, item, text: str) -> None:
         text, b = plain(text).strip(), self.budget
         self.items.append(item)
         number = len(self.items) - 1
+        self.held.append(text if len(text) >= b.q else "")
         if len(text) < b.q:
             if text:
                 self.short.append((number, text))
             return
         last = max(0, len(text) - b.segment)
-        for start in sorted({*range(0, last, b.segment // 2), last}):
-            self.segments.append((number, start, text[start : start + b.segment]))
+        long = [(start, start + b.segment) for start in sorted({*range(0, last, b.segment // 2), last})]
+        for kind, spans in zip(self.kinds, (long, quotes(text, b)), strict=True):
+            for start, end in spans:
+                kind.append(len(self.segments))
+                self.segments.append((number, start, text[start:end]))
 
     def close(self) -> Index:
-        grams = [hashes(s, self.budget.q) for _, _, s in self.segments]
+        q = self.budget.q
+        grams = [hashes(t, q) for t in self.held]
+        sizes = np.array([len(g) for g in grams], np.int64)
+        before = np.cumsum(sizes) - sizes
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(every, kind="stable")
-        self.segment = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
-        self.place = np.concatenate([np.arange(len(g)) for g in grams])[order] if grams else np.zeros(0, np.int64)
-        self.keys, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+        self.gram = np.argsort(every, kind="stable")  # its number among the q-grams of all items
+        self.item = np.repeat(np.arange(len(grams)), sizes)[self.gram]
+        self.place = self.gram - before[self.item]
+        self.keys, self.first, self.count = np.unique(every[self.gram], return_index=True, return_counts=True)
         bits = max(16, int(len(self.keys) * 64).bit_length())
         self.shift = np.uint64(64 - min(bits, 24))
         self.maybe = np.zeros(1 << int(64 - self.shift), bool)
         self.maybe[(self.keys * STEP) >> self.shift] = True
         self.lengths = np.array([len(s) for _, _, s in self.segments], np.int64)
         self.allowed = np.array([self.budget.allowed(n) for n in self.lengths], np.int64)
-        q = self.budget.q
         self.least = self.lengths + 1 - q - q * self.allowed
+        owner = np.array([item for item, _, _ in self.segments], np.int64)
+        self.fewest = np.full(len(grams), np.iinfo(np.int64).max)
+        np.minimum.at(self.fewest, owner, self.least)
+        # Of each kind: its segments, and the numbers of the first and last q-gram of each.
+        starts = np.array([start for _, start, _ in self.segments], np.int64) + before[owner]
+        self.ranges = [(k, starts[k], starts[k] + self.lengths[k] - q) for k in (np.array(x, np.int64) for x in self.kinds)]
+        self.shifted = int(sizes.max(initial=0))
+        self.held = []
         # Bands overlap by the edits of any segment, so that an alignment lies whole in one of them.
         self.overlap = int(self.allowed.max(initial=0)) + 1
         self.width = 2 * self.overlap
@@ -113,27 +157,41 @@ class Index:
 
 def regions(index: Index, text: str) -> np.ndarray:
     """(segment, band) of every region that meets the lemma's bound.  Band b holds the diagonals
-    (place in the text less place in the segment) from b * width on, width + overlap of them."""
+    (place in the text less place in the item, never negative by ``shifted``) from b * width on,
+    width + overlap of them."""
+    none = np.zeros((0, 2), np.int64)
     found = hashes(text, index.budget.q)
     at = np.flatnonzero(index.maybe[(found * STEP) >> index.shift])
     if not len(at):
-        return np.zeros((0, 2), np.int64)
+        return none
     key = np.searchsorted(index.keys, found[at])
     key[key == len(index.keys)] = 0
     own = index.keys[key] == found[at]
     at, key = at[own], key[own]
     if len(at) < max(1, int(index.least.min(initial=1))):
-        return np.zeros((0, 2), np.int64)
+        return none
     count = index.count[key]
     at = np.repeat(at, count)
     post = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(index.first[key], count)
-    segment = index.segment[post]
-    diagonal = at - index.place[post] + index.lengths.max(initial=0)  # never negative
+    diagonal = at - index.place[post] + index.shifted
     band = diagonal // index.width
     before = (diagonal % index.width < index.overlap) & (band > 0)
-    segments, bands = np.concatenate([segment, segment[before]]), np.concatenate([band, band[before] - 1])
+    post, bands = np.concatenate([post, post[before]]), np.concatenate([band, band[before] - 1])
     most = int(bands.max()) + 1
-    pairs, hits = np.unique(segments * most + bands, return_counts=True)
+    group = index.item[post] * most + bands
+    groups, hits = np.unique(group, return_counts=True)
+    groups = groups[hits >= index.fewest[groups // most]]
+    if not len(groups):
+        return none
+    near = np.isin(group, groups)
+    gram, bands = index.gram[post[near]], bands[near]
+    counted = []
+    for kind, first, last in index.ranges:
+        low = np.searchsorted(last, gram)
+        n = np.maximum(np.searchsorted(first, gram, "right") - low, 0)
+        held = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        counted.append(kind[held] * most + np.repeat(bands, n))
+    pairs, hits = np.unique(np.concatenate(counted), return_counts=True)
     enough = hits >= index.least[pairs // most]
     return np.stack([pairs[enough] // most, pairs[enough] % most], axis=1)
 
@@ -164,12 +222,12 @@ def banded_alignment(segment: str, text: str, low: int, high: int, most: int) ->
 def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
     """(item number, start, end, edits, segments) of each item of which a text holds a segment; start
     and end span all its segments, edits are the fewest of one segment."""
-    text = plain(text)
+    given, text = text, plain(text)
     found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     done: set[tuple[int, int]] = set()
     for s, band in regions(index, text).tolist():
-        item, _, segment = index.segments[s]
-        low = band * index.width - int(index.lengths.max())
+        item, place, segment = index.segments[s]
+        low = band * index.width - index.shifted + place
         high = low + index.width + index.overlap
         most = int(index.allowed[s])
         start = text.find(segment, max(0, low - most), max(0, high + most) + len(segment))
@@ -180,6 +238,10 @@ def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
     for item, short in index.short:
         if (start := text.find(short)) >= 0:
             found[item].append((start, start + len(short), 0))
+    if found and len(text) != len(given):
+        at = places(given)
+        for hits in found.values():
+            hits[:] = [(int(at[a]), int(at[b - 1]) + 1, e) for a, b, e in hits]
     return [
         (item, min(h[0] for h in hits), max(h[1] for h in hits), min(h[2] for h in hits), len(hits))
         for item, hits in sorted(found.items())

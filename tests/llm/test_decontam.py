@@ -63,6 +63,30 @@ def test_case_and_white_space_do_not_matter():
     assert decontam.matches(index, "x\n" + text.upper().replace(" ", "\t") + "\ny")[0][3] == 0
 
 
+def test_runs_of_white_space_are_one_blank():
+    rng = random.Random(4)
+    text = prose(rng, 55)
+    given = f"x  \n {text.upper().replace(' ', '  ')}\t\ty"
+    (item, start, end, edits, _), = decontam.matches(index_of([(1, text)]), given)
+    assert (item, edits) == (0, 0) and given[start:end] == text.upper().replace(" ", "  ")
+    spaced = index_of([(1, text.replace(" ", " \n "))])
+    assert decontam.matches(spaced, f"a {text} b")[0][1:4] == (2, 2 + len(text), 0)
+
+
+def test_quotes_of_thirteen_words_at_all_offsets():
+    rng = random.Random(5)
+    text = prose(rng, 60)
+    index, words = index_of([(1, text)]), text.split()
+    for k in range(len(words) - 12):
+        quote = " ".join(words[k : k + 13])
+        assert [m[0] for m in decontam.matches(index, f"{prose(rng, 10)} {quote} {prose(rng, 10)}")] == [0], k
+    unspaced = "".join(rng.choice("abcdefghij") for _ in range(400))
+    index = index_of([(1, unspaced)])
+    for k in range(len(unspaced) - 108):
+        assert decontam.matches(index, f"{prose(rng, 10)}-{unspaced[k : k + 109]}-{prose(rng, 10)}"), k
+    assert not decontam.matches(index, prose(rng, 300))
+
+
 @pytest.mark.parametrize("block_chars", [1, 200, 1_000_000])
 def test_rows_blocks_and_edges(corpus, spark, block_chars):
     rng = random.Random(3)
