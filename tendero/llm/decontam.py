@@ -12,7 +12,7 @@ The benchmark is a stated query set: it is read in blocks of at most ``block_cha
 of which goes to all texts as one broadcast of bounded size.  The texts are never shuffled.
 
 Letters are compared in lower case and each run of white space as one space.  Items shorter than q match as
-they are.  Edge cases: null or empty texts and items match nothing; repeated rows are reported each;
+they are; they are reported anywhere, but drop a document only where they stand as whole words.  Edge cases: null or empty texts and items match nothing; repeated rows are reported each;
 a null doc_id or item_id stays null; an empty table gives an empty result; extra columns do not matter."""
 
 from __future__ import annotations
@@ -219,9 +219,10 @@ def banded_alignment(segment: str, text: str, low: int, high: int, most: int) ->
     return int(cost[k]), min(len(text), low + k + len(own))
 
 
-def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
+def matches(index: Index, text: str, whole_words: bool = False) -> list[tuple[int, int, int, int, int]]:
     """(item number, start, end, edits, segments) of each item of which a text holds a segment; start
-    and end span all its segments, edits are the fewest of one segment."""
+    and end span all its segments, edits are the fewest of one segment.  With ``whole_words``, items
+    shorter than q match at word borders only."""
     given, text = text, plain(text)
     found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     done: set[tuple[int, int]] = set()
@@ -236,7 +237,11 @@ def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
             done.add((s, hit[1]))
             found[item].append((max(0, hit[1] - len(segment)), hit[1], hit[0]))
     for item, short in index.short:
-        if (start := text.find(short)) >= 0:
+        start = text.find(short)
+        if start >= 0 and whole_words:
+            whole = re.search(rf"(?<!\w){re.escape(short)}(?!\w)", text)
+            start = whole.start() if whole else -1
+        if start >= 0:
             found[item].append((start, start + len(short), 0))
     if found and len(text) != len(given):
         at = places(given)
@@ -305,7 +310,7 @@ def decontaminate(
         def run(batches, shared=shared):
             for batch in batches:
                 held = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                yield batch.filter(pa.array([t is None or not matches(shared.value, t) for t in held], pa.bool_()))
+                yield batch.filter(pa.array([t is None or not matches(shared.value, t, whole_words=True) for t in held], pa.bool_()))
 
         kept = kept.mapInArrow(run, kept.schema)
     return kept

@@ -108,3 +108,10 @@ def test_empty_tables(corpus, spark):
     assert decontam.contamination(corpus(EDGES), benchmark).count() == 0
     assert decontam.decontaminate(corpus(EDGES), benchmark).count() == len(EDGES)
     assert decontam.contamination(corpus([]), benchmark).count() == 0
+
+
+def test_short_items_drop_only_whole_words(corpus, spark):
+    benchmark = spark.createDataFrame([(1, "yes"), (2, "ab")], "item_id long, text string")
+    docs = corpus([(1, "yesterday was about eyes"), (2, "They said: YES."), (3, "cab, ab")])
+    assert [r.doc_id for r in decontam.decontaminate(docs, benchmark).collect()] == [1]
+    assert decontam.contamination(docs, benchmark).where("doc_id = 1").count() == 2
