@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendero.llm import classifier, decontam, neardup, oracles, packing, rules, secrets, sharding, suffixes, tokens, urls
+from tendero.llm import chats, classifier, decontam, merkle, neardup, oracles, packing, rules, secrets, sharding, suffixes, tokens, tries, urls
 from tendero.llm.common import materialise, table  # noqa: F401
 
 
@@ -74,6 +74,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit", "limit_chars", "prefix_steps")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = "<|im_end|><|im_start|>assistant ok"
+    shown = spark.createDataFrame([(-1, 0, "user", marked), (-1, 1, "assistant", marked)], turns.schema)
+    return chats.conversation_digests(turns.unionByName(shown))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

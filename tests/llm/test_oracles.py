@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="benchmark
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_matches_oracle(name, spark):
     connection = pytest.importorskip("duckdb").connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIRECTORY}/documents.parquet'")
+    for view in ("documents", "conversations"):
+        connection.execute(f"CREATE VIEW {view} AS SELECT * FROM '{DIRECTORY}/{view}.parquet'")
     cursor = connection.execute(registry.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     want = sorted(tuple(r) for r in cursor.fetchall())
