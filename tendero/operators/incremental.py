@@ -10,6 +10,7 @@ from tendero.functions import line_amount, net_amount, ratio, row_hash, signed
 from tendero.operators.base import DateLike, as_date, horizon_or_last
 from tendero.schemas import Tables
 from tendero.session import work_folder
+from tendero.sources import versions
 
 
 def latest_per_key(rows: DataFrame, keys: tuple[str, ...], version: str) -> DataFrame:
@@ -291,3 +292,33 @@ def reconcile_metric(tables: Tables) -> DataFrame:
         F.coalesce("tickets", F.lit(0)).alias("tickets"),
         F.coalesce("tickets_con_items", F.lit(0)).alias("tickets_con_items"),
     )
+
+
+# ---------------------------------------------------------------- stored days
+def store_hours(feed: DataFrame, path: str) -> int:
+    """The hourly totals of a feed as a stored table, a part for each day."""
+    hours = hourly_tickets(feed).withColumn("date", F.to_date("hour"))
+    return versions.replace_parts(hours, path, "date", hours.select("date").distinct())
+
+
+def reprocess_hours(feed: DataFrame, path: str, until: Column, hours: int = 3) -> int:
+    """Put the recomputed totals of ``reprocess_window`` back into the stored table: exactly those hours are
+    replaced, hours that are empty now are gone, and the days they belong to change all at once."""
+    spark = feed.sparkSession
+    end = F.date_trunc("hour", until)
+    window = spark.range(1).select((end - F.make_dt_interval(hours=F.lit(hours))).alias("start"), end.alias("end"))
+    # Two moments; as numbers they do not depend on a time zone.
+    start_at, end_at = window.select(F.unix_micros("start"), F.unix_micros("end")).first()
+    start, end = F.timestamp_micros(F.lit(start_at)), F.timestamp_micros(F.lit(end_at))
+    last = F.timestamp_micros(F.lit(end_at - 1))
+    days = spark.range(1).select(F.explode(F.sequence(F.to_date(start), F.to_date(last))).alias("date"))
+    fresh = reprocess_window(feed, end, hours).withColumn("date", F.to_date("hour"))
+    touched = [str(r.date) for r in days.collect()]
+    kept = versions.read_parts(spark, path, fresh.schema, parts=touched).filter((F.col("hour") < start) | (F.col("hour") >= end))
+    return versions.replace_parts(kept.unionByName(fresh), path, "date", days)
+
+
+def publish_certified(mart: DataFrame, certification: DataFrame, path: str) -> int:
+    """Expose the days of a mart (column ``date``) that are certified.  A blocked day keeps what was published
+    for it before, if anything; a certified day without rows is published as empty."""
+    return versions.replace_parts(mart, path, "date", certification.filter("certified").select("date"))

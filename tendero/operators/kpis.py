@@ -129,6 +129,21 @@ def kpi_availability(
     )
 
 
+def health_scores(parts: DataFrame, *peer_columns: str) -> DataFrame:
+    """The weighted sum of the components of ``HEALTH_WEIGHTS``, each min-max scaled among its peers."""
+    peers = Window.partitionBy(*peer_columns)
+
+    def scaled(name: str) -> Column:
+        low, high = F.min(name).over(peers), F.max(name).over(peers)
+        return ratio(F.col(name) - low, high - low)
+
+    parts = parts.withColumns({f"{name}_scaled": scaled(name) for name in HEALTH_WEIGHTS})
+    score = sum((F.col(f"{name}_scaled") * weight for name, weight in HEALTH_WEIGHTS.items()), F.lit(0.0))
+    return parts.withColumn("health_score", score * 100).withColumn(
+        "meets_target", F.col("health_score") >= HEALTH_TARGET
+    )
+
+
 def kpi_health_score(
     tables: Tables,
     start: DateLike,
@@ -152,14 +167,4 @@ def kpi_health_score(
             "availability",
         )
     )
-    peers = Window.partitionBy("format")
-
-    def scaled(name: str) -> Column:
-        low, high = F.min(name).over(peers), F.max(name).over(peers)
-        return ratio(F.col(name) - low, high - low)
-
-    parts = base.withColumns({f"{name}_scaled": scaled(name) for name in HEALTH_WEIGHTS})
-    score = sum((F.col(f"{name}_scaled") * weight for name, weight in HEALTH_WEIGHTS.items()), F.lit(0.0))
-    return parts.withColumn("health_score", score * 100).withColumn(
-        "meets_target", F.col("health_score") >= HEALTH_TARGET
-    )
+    return health_scores(base, "format")

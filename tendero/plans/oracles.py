@@ -769,6 +769,71 @@ final AS (
              + ticket_scaled * CAST(0.2 AS DOUBLE) + availability_scaled * CAST(0.15 AS DOUBLE)) * 100 AS score FROM scaled)
 SELECT * EXCLUDE (score), ROUND(score, 8) AS health_score, score >= 75 AS meets_target FROM final""")
 
+# The series from calendars: every day of every item, where the operators only sweep over events.
+def _daily_availability(first: str, last: str) -> str:
+    return _LINES.strip() + f""",
+sold AS (
+  SELECT DISTINCT store_id, category, transaction_date AS s FROM done
+  WHERE transaction_date BETWEEN DATE '{first}' - 180 AND DATE '{last}'),
+covered AS (
+  SELECT store_id, category, CAST(UNNEST(generate_series(
+           GREATEST(s, DATE '{first}'), LEAST(s + 180, DATE '{last}'), INTERVAL 1 DAY)) AS DATE) AS date, s FROM sold),
+pair_days AS (
+  SELECT store_id, category, date, date - s AS silent_days
+  FROM (SELECT store_id, category, date, MAX(s) AS s FROM covered GROUP BY ALL)),
+avail AS (
+  SELECT store_id, date, COUNT(*) AS active_items, COUNT(*) FILTER (silent_days >= 3) AS idle_items,
+         1.0 - {div('COUNT(*) FILTER (silent_days >= 3)', 'COUNT(*)')} AS availability
+  FROM pair_days GROUP BY store_id, date)
+"""
+
+
+oracle("kpi_availability_daily", _daily_availability("2001-01-01", "2001-08-01") + """
+SELECT *, availability >= 0.97 AS meets_target FROM avail""")
+oracle("kpi_stockout_daily", _CALENDAR.strip() + f""",
+amounts AS (
+  SELECT store_id, fecha_inicio_ausencia AS a, fecha_fin_ausencia AS b, dias_sin_venta AS n,
+         CAST(CAST(venta_diaria_promedio_previa AS DECIMAL(28,6)) AS DECIMAL(38,6)) AS daily,
+         CAST(CAST(venta_estimada_perdida AS DECIMAL(28,6)) AS DECIMAL(38,6)) AS whole FROM gaps),
+each_day AS (
+  SELECT store_id, CAST(UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date, b, daily, whole - daily * n AS rest
+  FROM amounts),
+lost AS (
+  SELECT store_id, date, SUM(daily + CASE WHEN date = b THEN rest ELSE 0 END) AS lost FROM each_day GROUP BY ALL),
+net AS (
+  SELECT store_id, transaction_date AS date, {total(NET)} AS net_sales FROM transactions
+  WHERE transaction_date <= DATE '2001-08-01' GROUP BY ALL)
+SELECT store_id, date, CAST(COALESCE(lost, 0) AS DOUBLE) AS lost, net_sales,
+       {div('COALESCE(lost, 0)', 'net_sales')} AS stockout_index,
+       {div('COALESCE(lost, 0)', 'net_sales')} < 0.02 AS meets_target
+FROM net FULL JOIN (SELECT * FROM lost WHERE lost <> 0) lost USING (store_id, date)""")
+oracle("kpi_margin_return_monthly", f"""
+sold AS (
+  SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month, vendor_id, category, SUM({LINE}) AS v,
+         SUM(quantity * CAST(cost AS DECIMAL(18,6))) AS c
+  FROM transaction_items i JOIN transactions t ON t.transaction_id = i.transaction_id AND status = 'COMPLETED'
+  JOIN products p ON p.item_id = i.item_id GROUP BY ALL)
+SELECT month, sold.vendor_id, COALESCE(vendor_name, 'SIN_VENDOR') AS vendor_name, category, {dbl('v')} AS ventas_brutas_items,
+       {dbl('c')} AS costo_total, {div('v - c', 'c')} AS retorno_margen_bruto_sobre_costo, {div('v - c', 'c')} > 1.5 AS meets_target
+FROM sold LEFT JOIN vendors v ON v.vendor_id = sold.vendor_id""")
+oracle("kpi_health_score_weekly", _daily_availability("2001-01-01", "2001-06-30") + f""",
+parts AS (
+  SELECT {WEEK} AS week_start, s.store_id, s.format, {div(f'SUM({NET})', 'MAX(size_sqm)')} AS sales_per_sqm,
+         {div('COUNT(DISTINCT transaction_id)', 'MAX(size_sqm)')} AS tx_per_sqm,
+         {div(f'SUM({NET})', 'COUNT(DISTINCT transaction_id)')} AS ticket
+  FROM transactions t JOIN stores s ON s.store_id = t.store_id
+  WHERE {WEEK} >= DATE '2001-01-01' AND {WEEK} + 6 <= DATE '2001-06-30' GROUP BY ALL),
+joined AS (
+  SELECT p.*, availability FROM parts p LEFT JOIN avail a ON a.store_id = p.store_id AND a.date = p.week_start + 6),
+scaled AS (
+  SELECT *, {', '.join(f"({c} - MIN({c}) OVER w) / NULLIF(MAX({c}) OVER w - MIN({c}) OVER w, 0) AS {c}_scaled"
+                        for c in ('sales_per_sqm', 'tx_per_sqm', 'ticket', 'availability'))}
+  FROM joined WINDOW w AS (PARTITION BY week_start, format)),
+final AS (
+  SELECT *, (sales_per_sqm_scaled * CAST(0.4 AS DOUBLE) + tx_per_sqm_scaled * CAST(0.25 AS DOUBLE)
+             + ticket_scaled * CAST(0.2 AS DOUBLE) + availability_scaled * CAST(0.15 AS DOUBLE)) * 100 AS score FROM scaled)
+SELECT * EXCLUDE (score), ROUND(score, 8) AS health_score, score >= 75 AS meets_target FROM final""")
+
 # ---------------------------------------------------------------- incremental and streaming
 _FEED_TOTALS = f"COUNT(*) AS tickets, {total(NET)} AS ventas_netas"
 oracle("stream_ingest", f"""
@@ -822,6 +887,19 @@ SELECT store_id, strftime(date_trunc('hour', ts), {TS}) AS hour, {_FEED_TOTALS}
 WHERE date_trunc('hour', ts) >= (SELECT date_trunc('hour', MAX(ts)) - INTERVAL 72 HOUR FROM feed)
   AND date_trunc('hour', ts) < (SELECT date_trunc('hour', MAX(ts)) FROM feed)
 GROUP BY store_id, date_trunc('hour', ts)""")
+oracle("reprocess_written", f"""
+span AS (SELECT date_trunc('hour', MAX(ts)) - INTERVAL 72 HOUR AS a, date_trunc('hour', MAX(ts)) AS b FROM feed),
+told AS (
+  SELECT feed.* FROM feed, span
+  WHERE CASE WHEN ts >= a AND ts < b THEN hour(ts) <> 3 ELSE NOT (ts >= a AND transaction_id % 5 = 0) END)
+SELECT store_id, strftime(date_trunc('hour', ts), {TS}) AS hour, {_FEED_TOTALS} FROM told
+GROUP BY store_id, date_trunc('hour', ts)""")
+oracle("published_days", f"""
+sent AS (SELECT *, CAST(ts AS DATE) AS date FROM feed WHERE NOT (day(ts) % 3 = 0 AND store_id = 7)),
+per_day AS (SELECT store_id, date, {_FEED_TOTALS} FROM sent GROUP BY ALL)
+SELECT * FROM per_day WHERE date IN (
+  SELECT date FROM per_day WHERE store_id IN (SELECT store_id FROM stores WHERE opening_date <= date)
+  GROUP BY date HAVING COUNT(*) = (SELECT COUNT(*) FROM stores))""")
 oracle("freshness_expected", f"""
 hourly AS (SELECT store_id, date_trunc('hour', ts) AS h, COUNT(*) AS n FROM feed GROUP BY ALL),
 spine AS (

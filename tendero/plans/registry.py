@@ -13,18 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tendero.operators import base, cohorts, experiments, incremental, kpis, marts, mix, quality, sales, stockgaps
+from tendero.operators import base, cohorts, experiments, incremental, kpis, marts, mix, quality, sales, series, stockgaps
+from tendero.functions import net_amount
 from tendero.operators import timeseries as ts
 from tendero.plans import jobs
 from tendero.schemas import RETURNED, Tables
 from tendero.session import work_folder
-from tendero.sources import benchmark, files, sinks
+from tendero.sources import benchmark, files, sinks, versions
 from tendero.streaming import feed as streams
 
 # Parameters that fit the benchmark data (orders run from 1995-01-01 to 2001-08-01).
 CURRENT = ("2001-01-01", "2001-06-30")
 QUARTER = ("2001-04-01", "2001-06-30")
 HORIZON = "2001-08-01"
+FIRST_DAY = "1995-01-01"
 TRIAL = (benchmark.TRIAL_START, benchmark.TRIAL_END)
 CATEGORY_GRAIN = ("store_id", "category")
 FORMATS = ("DESCUENTO", "EXPRESS", "HIPERMERCADO", "SUPERMERCADO")
@@ -340,6 +342,11 @@ query("kpi_margin_return")(kpis.kpi_margin_return)
 query("kpi_availability")(lambda t: kpis.kpi_availability(t, HORIZON, CATEGORY_GRAIN))
 query("kpi_health_score", health_score=8)(lambda t: kpis.kpi_health_score(t, *QUARTER, CATEGORY_GRAIN))
 
+query("kpi_availability_daily")(lambda t: series.kpi_availability_daily(t, LOAD_CUT, HORIZON, CATEGORY_GRAIN))
+query("kpi_stockout_daily")(lambda t: series.kpi_stockout_daily(t, FIRST_DAY, HORIZON, CATEGORY_GRAIN))
+query("kpi_margin_return_monthly")(series.kpi_margin_return_monthly)
+query("kpi_health_score_weekly", health_score=8)(lambda t: series.kpi_health_score_weekly(t, *CURRENT, CATEGORY_GRAIN))
+
 
 # ---------------------------------------------------------------- incremental and streaming
 def _stream_result(spark: SparkSession, stream: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
@@ -428,6 +435,37 @@ def _load_updates(t: Tables) -> DataFrame:
     return t["transactions"].withColumn("total_amount", corrected)
 
 
+def _stored_hours(spark: SparkSession, path: str) -> DataFrame:
+    schema = "store_id long, hour timestamp, tickets long, ventas_netas decimal(28,2), date date"
+    return versions.read_parts(spark, path, T.StructType.fromDDL(schema)).drop("date")
+
+
+@session_query("reprocess_written")
+def _reprocess_written(spark: SparkSession, directory: str) -> DataFrame:
+    """Tickets of the last 72 hours come late, and those of 3 o'clock are withdrawn."""
+    feed, path = benchmark.event_feed(spark, directory), work_folder(spark, "hours")
+    until = feed.agg(F.max("ts")).scalar()
+    start = F.date_trunc("hour", until) - F.make_dt_interval(hours=F.lit(72))
+    late = (F.col("ts") >= start) & (F.col("transaction_id") % 5 == 0)
+    incremental.store_hours(feed.filter(~late), path)
+    incremental.reprocess_hours(feed.filter(F.hour("ts") != 3), path, until, hours=72)
+    return _stored_hours(spark, path)
+
+
+@session_query("published_days")
+def _published(spark: SparkSession, directory: str) -> DataFrame:
+    """Daily totals of the feed, those of certified days only; on every third day a store is silent."""
+    feed, path = benchmark.event_feed(spark, directory), work_folder(spark, "published")
+    tickets = feed.withColumn("transaction_date", F.to_date("ts"))
+    silent = (F.day("transaction_date") % 3 == 0) & (F.col("store_id") == 7)
+    tables = {"stores": benchmark.retail_tables(spark, directory)["stores"], "transactions": tickets.filter(~silent)}
+    mart = tables["transactions"].groupBy("store_id", F.col("transaction_date").alias("date")).agg(
+        F.count("*").alias("tickets"), F.sum(net_amount()).alias("ventas_netas")
+    )
+    incremental.publish_certified(mart, incremental.day_certification(tables, "2024-01-01", "2024-01-31"), path)
+    return versions.read_parts(spark, path, mart.schema)
+
+
 @query("merge_upsert", total_amount=2)
 def _merge(t: Tables) -> DataFrame:
     return incremental.merge_upsert(_load_target(t), _load_updates(t), ("transaction_id",))
