@@ -82,8 +82,11 @@ def surrogate_key(*columns: str | Column) -> Column:
 
 
 def row_hash(columns: list[str]) -> Column:
-    """Change detector for upserts.  A NULL and an empty string hash differently."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+    """Change detector for upserts.  A NULL and an empty string hash differently, and moments count to
+    the microsecond."""
+    moment = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": f"{moment}XXX", "timestampNTZFormat": moment}
+    return F.sha2(F.to_json(F.struct(*sorted(columns)), options), 256)
 
 
 def category_en(column: str | Column) -> Column:

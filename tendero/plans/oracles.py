@@ -838,6 +838,17 @@ SELECT * EXCLUDE (score), ROUND(score, 8) AS health_score, score >= 75 AS meets_
 _FEED_TOTALS = f"COUNT(*) AS tickets, {total(NET)} AS ventas_netas"
 oracle("stream_ingest", f"""
 SELECT event_id, strftime(ts, {TS}) AS ts, user_id, event_type, value, TRUE AS hashed, TRUE AS dated FROM events""")
+_PARTS = ", ".join(
+    f"CAST(SUM(CAST(CAST('0x' || substr(h, {at}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for at in (1, 9, 17, 25)
+)
+oracle("stream_ingest_ledger", f"""
+hashed AS (
+  SELECT user_id % 4 AS part, event_id, sha256('{{"event_id":' || event_id || ',"event_type":' || to_json(event_type)
+           || ',"props":' || to_json(props) || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id
+           || ',"value":' || to_json(value) || '}}') AS h FROM events)
+SELECT part, sha256(concat_ws('|', CAST(COUNT(*) AS VARCHAR), {_PARTS})) AS source_hash, COUNT(*) AS rows,
+       COUNT(DISTINCT event_id) AS events, CAST(1 AS BIGINT) AS files
+FROM hashed GROUP BY part""")
 oracle("stream_validate", f"""
 SELECT transaction_id, strftime(ts, {TS}) AS ts, store_id, total_amount, status,
        IF(total_amount <= 1, 'nonpositive_amount', 'ok') AS verdict FROM feed""")
@@ -882,6 +893,13 @@ SELECT store_id, strftime(ts, {TS}) AS last_ts, strftime(alert_at, {TS}) AS aler
 oracle("stream_no_data_alert", _SILENCE + f"""
 SELECT store_id, strftime(ts, {TS}) AS last_ts, strftime(alert_at, {TS}) AS alert_at FROM alerts
 WHERE ts IS NOT NULL AND alert_at <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM feed)""")
+# Live, each active store is watched from the first opening on, also those that never report.
+oracle("stream_live_alerts", _SILENCE.replace("""  UNION ALL SELECT store_id, NULL, NULL, (SELECT MIN(ts) FROM feed) FROM stores
+  WHERE store_id NOT IN (SELECT store_id FROM feed)),""", """  UNION ALL
+  SELECT w.store_id, NULL, (SELECT MIN(ts) FROM feed f WHERE f.store_id = w.store_id), TIMESTAMP '2024-01-01 08:00:00'
+  FROM (SELECT store_id FROM stores UNION ALL SELECT store_id + 100 FROM stores WHERE store_id < 2) w),""") + f"""
+SELECT store_id, strftime(ts, {TS}) AS last_ts, strftime(alert_at, {TS}) AS alert_at FROM alerts
+WHERE alert_at <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM feed)""")
 oracle("reprocess_window", f"""
 SELECT store_id, strftime(date_trunc('hour', ts), {TS}) AS hour, {_FEED_TOTALS} FROM feed
 WHERE date_trunc('hour', ts) >= (SELECT date_trunc('hour', MAX(ts)) - INTERVAL 72 HOUR FROM feed)

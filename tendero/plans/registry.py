@@ -21,6 +21,7 @@ from tendero.schemas import RETURNED, Tables
 from tendero.session import work_folder
 from tendero.sources import benchmark, files, sinks, versions
 from tendero.streaming import feed as streams
+from tendero.streaming.alerts import live_alerts
 
 # Parameters that fit the benchmark data (orders run from 1995-01-01 to 2001-08-01).
 CURRENT = ("2001-01-01", "2001-06-30")
@@ -366,6 +367,23 @@ def _ingest(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@session_query("stream_ingest_ledger")
+def _ingest_ledger(spark: SparkSession, directory: str) -> DataFrame:
+    """The events in four files, two of which are sent again: under another name, one in another order."""
+    folder = work_folder(spark, "ledger")
+    events = benchmark.read_source(spark, directory, "events")
+    part = F.col("user_id") % 4
+    sent = [(k, events.filter(part == k)) for k in range(4)]
+    for name, rows in [*sent, ("1-again", sent[1][1].orderBy(F.desc("event_id"))), ("2-again", sent[2][1])]:
+        rows.coalesce(1).write.parquet(f"{folder}/landing/{name}")
+    landing = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True)
+    streams.ingest_once(landing.parquet(f"{folder}/landing"), f"{folder}/raw", f"{folder}/checkpoint")
+    stored = streams.ingested(spark, f"{folder}/raw", events.schema)
+    return stored.groupBy(part.alias("part"), "source_hash").agg(
+        F.count("*").alias("rows"), F.count_distinct("event_id").alias("events"), F.count_distinct("source_file").alias("files")
+    )
+
+
 @session_query("stream_validate")
 def _validate(spark: SparkSession, directory: str) -> DataFrame:
     checked = streams.validate(benchmark.event_stream(spark, directory), min_amount=1.0)
@@ -401,6 +419,16 @@ def _alerts(spark: SparkSession, directory: str) -> DataFrame:
     return alerts.select("store_id", "last_ts", "alert_at")
 
 
+@session_query("stream_live_alerts")
+def _live_alerts(spark: SparkSession, directory: str) -> DataFrame:
+    """Stores 100 and 101 are active but never send a ticket."""
+    stores = benchmark.retail_tables(spark, directory)["stores"].select("store_id")
+    watched = stores.unionByName(stores.filter("store_id < 2").withColumn("store_id", F.col("store_id") + 100))
+    feed = benchmark.event_stream(spark, directory)
+    alerts = live_alerts(feed, watched, F.lit("2024-01-01 08:00:00").cast("timestamp"))
+    return _stream_result(spark, alerts, "live-alerts")
+
+
 @session_query("silent_intervals")
 def _silent(spark: SparkSession, directory: str) -> DataFrame:
     stores = benchmark.retail_tables(spark, directory)["stores"]

@@ -7,8 +7,12 @@ checkpoint lives beside it on shared storage, so a lost executor or driver resum
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tendero.functions import net_amount, ratio, row_hash
 from tendero.operators.incremental import alert_time, upsert_partitions
@@ -53,6 +57,65 @@ def file_fingerprints(ingested: DataFrame) -> DataFrame:
     )
 
 
+LEDGER = "source_hash string, source_file string, rows long, load string"
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The files that ``ingest_once`` has stored below ``path``, a row for each content."""
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{path}/ledger")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+
+
+def load_batch(batch: DataFrame, path: str) -> None:
+    """Store the rows of the files of a batch (as ``ingest`` gives them, whole files) whose content is new.
+
+    A load is named by the contents it brings, its rows are written first, and the ledger's file is added last.
+    What is cut off before that is not read by anybody, and the next try, in whatever batch the files
+    come, either replaces it or leaves it unread.  A batch that comes again finds its files in the ledger."""
+    spark = batch.sparkSession
+    known = ledger(spark, path)
+    fresh = (
+        file_fingerprints(batch)
+        .join(known, "source_hash", "left_anti")
+        .groupBy("source_hash")
+        .agg(F.min("source_file").alias("source_file"), F.first("rows").alias("rows"))
+        .collect()  # a row for each file of the batch, which the driver has listed
+    )
+    if not fresh:
+        return
+    load = hashlib.sha256("".join(sorted(r.source_hash for r in fresh)).encode()).hexdigest()[:32]
+    files = spark.createDataFrame([(r.source_hash, r.source_file, r.rows, load) for r in fresh], LEDGER)
+    rows = batch.join(files.select("source_file", "source_hash"), "source_file")
+    rows.write.mode("overwrite").partitionBy("arrival_date").parquet(f"{path}/rows/load={load}")
+    files.coalesce(1).write.mode("append").parquet(f"{path}/ledger")
+
+
+def ingest_once(raw: DataFrame, path: str, checkpoint: str) -> None:
+    """Drain a file stream into the table below ``path``.  A file that was stored before adds nothing, under
+    whatever name and in whatever order of rows it is sent again, also with a new checkpoint."""
+    (
+        ingest(raw)
+        .writeStream.foreachBatch(lambda batch, _: load_batch(batch, path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The stored rows: ``schema`` is that of the raw rows; ``source_file``, ``source_hash``, ``row_hash``
+    and ``arrival_date`` are added.  Only loads that the ledger names are read."""
+    added = [T.StructField(c, T.StringType()) for c in ("source_file", "row_hash", "source_hash", "load")]
+    whole = T.StructType([*schema, *added, T.StructField("arrival_date", T.DateType())])
+    loads = ledger(spark, path).select("load").distinct()
+    return spark.read.schema(whole).parquet(f"{path}/rows").join(loads, "load", "left_semi").drop("load")
+
+
 def verdict(min_amount: float = 0.0) -> Column:
     """The first check a row fails, or ``ok``."""
     return (
