@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tendero.functions import line_amount, money, ratio, signed
-from tendero.operators.base import DateLike, completed, completed_lines, horizon_or_last
+from tendero.operators.base import TICKET_LINES, DateLike, completed, completed_lines, horizon_or_last
 from tendero.schemas import (
     LOW_MARGIN_RETURN,
     MONITORING,
@@ -150,14 +150,17 @@ def promo_impact_long(tables: Tables) -> DataFrame:
     Completed tickets are joined first, so returned ones are not carried on, and the join's
     partitioning by ticket serves the reduction to (ticket, category): lines move once.  Adaptive
     execution splits a ticket with very many lines.  A ticket counts once in each category."""
-    lines = tables["transaction_items"].select(
-        "transaction_id", "item_id", "quantity", "was_on_promo", line_amount().alias("line")
-    )
-    tickets = completed(tables).select("transaction_id", money("total_amount").alias("ticket"))
+    products = tables["products"].select("item_id", "category")
+    if TICKET_LINES in tables:
+        told = tables[TICKET_LINES].join(products, "item_id")
+    else:
+        lines = tables["transaction_items"].select(
+            "transaction_id", "item_id", "quantity", "was_on_promo", line_amount().alias("line")
+        )
+        tickets = completed(tables).select("transaction_id", money("total_amount").alias("ticket"))
+        told = lines.join(products, "item_id").join(tickets, "transaction_id")
     pairs = (
-        lines.join(tables["products"].select("item_id", "category"), "item_id")
-        .join(tickets, "transaction_id")
-        .groupBy("transaction_id", "category")
+        told.groupBy("transaction_id", "category")
         .agg(
             F.bool_or("was_on_promo").alias("promo_tx"),
             F.sum("quantity").alias("units"),

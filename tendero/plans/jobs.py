@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tendero.functions import ratio
 from tendero.operators import cohorts, mix, sales, stockgaps, timeseries
-from tendero.operators.base import union_all
+from tendero.operators.base import TICKET_LINES, ticket_lines, union_all
 from tendero.schemas import Tables
 from tendero.sources.sinks import export, save
 
@@ -39,9 +40,24 @@ def mart_plans(tables: Tables, periods: MartPeriods) -> dict[str, Callable[[], D
     }
 
 
-def run_marts(tables: Tables, periods: MartPeriods, out: str) -> dict[str, DataFrame]:
-    """Write the six marts below ``out`` and return them read back."""
-    return {name: save(plan(), path=f"{out}/{name}") for name, plan in mart_plans(tables, periods).items()}
+def with_shared_lines(tables: Tables, out: str) -> Tables:
+    """The tables with the join of lines and tickets, which half the marts begin with, stored below ``out``."""
+    stored = save(ticket_lines(tables), path=f"{out}/_ticket_lines")
+    return ChainMap({TICKET_LINES: stored}, tables)
+
+
+def run_marts(
+    tables: Tables, periods: MartPeriods, out: str, counted: dict[str, int] | None = None
+) -> dict[str, DataFrame]:
+    """Write the six marts below ``out`` and return them read back.  Lines and tickets are joined once.
+    ``counted`` receives the rows of each mart, counted as they are written."""
+    marts = {}
+    for name, plan in mart_plans(with_shared_lines(tables, out), periods).items():
+        seen = Observation(name)
+        marts[name] = save(plan().observe(seen, F.count(F.lit(1)).alias("filas")), path=f"{out}/{name}")
+        if counted is not None:
+            counted[name] = seen.get["filas"]
+    return marts
 
 
 def mart_counts(marts: dict[str, DataFrame]) -> DataFrame:

@@ -90,7 +90,7 @@ def oracle(name: str, body: str) -> None:
 oracle("load_csv", """
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(customer_id AS VARCHAR) AS customer_id,
        transaction_date, CAST(store_id AS VARCHAR) AS store_id, total_amount,
-       'a "quoted", ' || payment_method AS payment_method, loyalty_card, status
+       'a "quoted",' || IF(transaction_id % 2 = 0, ' ', chr(10)) || payment_method AS payment_method, loyalty_card, status
 FROM transactions""")
 oracle("load_csv_bad_rows", """
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, IF(transaction_id % 17 = 0, 'total_amount', '') AS failed

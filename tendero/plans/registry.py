@@ -81,12 +81,17 @@ def session_query(name: str, **digits: int):
 # ---------------------------------------------------------------- sources, sinks, SQL
 @session_query("load_csv")
 def _load_csv(spark: SparkSession, directory: str) -> DataFrame:
+    """One half in the table's order; the other with the columns turned round, one more, and line breaks."""
     path = work_folder(spark, "load-csv")
     source = benchmark.retail_tables(spark, directory)["transactions"]
     text = source.withColumn("loyalty_card", F.when(F.col("loyalty_card"), "True").otherwise("False"))
+    even = F.col("transaction_id") % 2 == 0
     quoted = F.concat(F.lit('a "quoted", '), F.col("payment_method"), F.lit("\t"))
-    sinks.export(text.withColumn("payment_method", quoted), path, "csv")
-    return files.read_csv_table(spark, path, "transactions")
+    sinks.export(text.filter(even).withColumn("payment_method", quoted), f"{path}/even", "csv")
+    broken = F.concat(F.lit('a "quoted",\n'), F.col("payment_method"))
+    turned = text.filter(~even).withColumn("payment_method", broken).withColumn("note", F.lit("not ours"))
+    sinks.export(turned.select(*reversed(turned.columns)), f"{path}/odd", "csv")
+    return files.read_csv_table(spark, f"{path}/*", "transactions")
 
 
 def _with_bad_lines(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
@@ -129,7 +134,9 @@ def _save_table(spark: SparkSession, directory: str) -> DataFrame:
 @session_query("run_marts")
 def _run_marts(spark: SparkSession, directory: str) -> DataFrame:
     tables = benchmark.retail_tables(spark, directory)
-    return jobs.mart_counts(jobs.run_marts(tables, PERIODS, work_folder(spark, "marts")))
+    counted: dict[str, int] = {}
+    jobs.run_marts(tables, PERIODS, work_folder(spark, "marts"), counted)
+    return spark.createDataFrame(list(counted.items()), "tabla string, filas long")
 
 
 @session_query("preview")

@@ -9,7 +9,8 @@ import pytest
 
 from tendero.plans import registry as entry
 from tendero.sources import benchmark
-from tendero.operators import cohorts, marts, mix, sales, stockgaps
+from tendero.operators import base, cohorts, marts, mix, sales, stockgaps
+from tendero.plans import jobs
 
 DIRECTORY = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="benchmark data not present")
@@ -74,3 +75,19 @@ def test_lines_combine_before_they_shuffle(spark, no_broadcast):
     assert not re.search(r"Exchange hashpartitioning\(transaction_id#\d+L, category#\d+", pairs)
     cohort = plan_of(cohorts.cohort_activity(t))
     assert "partial_count(distinct" not in cohort and cohort.count("SortMergeJoin") == 1  # orders with customers only
+
+
+def test_marts_join_lines_and_tickets_once(spark, tmp_path):
+    tables = benchmark.retail_tables(spark, DIRECTORY)
+    assert plan_of(base.ticket_lines(tables)).count("FileScan parquet [l_orderkey") == 1
+    shared = jobs.with_shared_lines(tables, str(tmp_path))
+    frames = {name: plan() for name, plan in jobs.mart_plans(shared, entry.PERIODS).items()}
+    assert not any("[l_orderkey" in plan_of(frame) for frame in frames.values())
+    readers = {name for name, frame in frames.items() if any("_ticket_lines" in f for f in frame.inputFiles())}
+    assert readers == {"retorno_margen", "quiebres_stock", "promociones"}
+
+
+def test_counted_marts_are_not_read_again(spark, tmp_path):
+    counted = {}
+    marts = jobs.run_marts(benchmark.retail_tables(spark, DIRECTORY), entry.PERIODS, str(tmp_path), counted)
+    assert counted == {r.tabla: r.filas for r in jobs.mart_counts(marts).collect()}

@@ -158,3 +158,52 @@ def test_exported_csv_reads_back_elsewhere(spark, tmp_path):
     (part,) = (tmp_path / "out").glob("part-*.csv")
     with part.open(newline="") as f:
         assert [r["x"] for r in csv.DictReader(f)] == values
+
+
+# ---------------------------------------------------------------- CSV headers and records
+def put(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(text.encode())
+
+
+HEADER = "vendor_id,vendor_name,country,tier,is_shared_catalog"
+
+
+def vendors_in(spark, folder, **options):
+    return records(files.read_csv_table(spark, str(folder), "vendors", **options), *HEADER.split(","))
+
+
+def test_columns_are_found_by_name_in_each_file(spark, tmp_path):
+    folder = tmp_path / "v ö%20x"
+    put(folder, "a.csv", f"{HEADER}\nV1,Uno,CR,A,True\n")
+    put(folder, "b.csv", "\ufefftier , note,is_shared_catalog,country,vendor_name,vendor_id\r\nB,x,False,GT,Dos,V2\r\n")
+    put(folder, "c.csv", f"{HEADER}\n")
+    put(folder, "d.csv", "")
+    assert vendors_in(spark, folder) == [("V1", "Uno", "CR", "A", True), ("V2", "Dos", "GT", "B", False)]
+    assert vendors_in(spark, folder, line_breaks=False) == vendors_in(spark, folder)
+
+
+def test_a_missing_or_doubled_column_is_refused(spark, tmp_path):
+    put(tmp_path / "m", "a.csv", f"{HEADER}\nV1,Uno,CR,A,True\n")
+    put(tmp_path / "m", "b.csv", "vendor_id,vendor_name,tier,is_shared_catalog\nV2,Dos,A,True\n")
+    with pytest.raises(ValueError, match="b.csv lacks country"):
+        files.read_csv_table(spark, str(tmp_path / "m"), "vendors")
+    put(tmp_path / "t", "a.csv", f"{HEADER},tier\nV1,Uno,CR,A,True,B\n")
+    with pytest.raises(ValueError, match="tier more than once"):
+        files.read_csv_table(spark, str(tmp_path / "t"), "vendors")
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    put(tmp_path / "q", "a.csv", f'{HEADER}\nV1,"Uno\n\n""S.A."", 1",CR,A,True\nV2,"5"" TV",GT,B,False\nV3,Tres,SV,C,True\n')
+    put(tmp_path / "q", "b.csv", f"{HEADER}\nV4,Cuatro,SV,C,True\n")
+    got = vendors_in(spark, tmp_path / "q")
+    assert [r[1] for r in got] == ['Uno\n\n"S.A.", 1', '5" TV', "Tres", "Cuatro"]
+    spans = {r.file[-5:]: r.spans for r in files.survey_csv(spark, str(tmp_path / "q")).collect()}
+    assert spans == {"a.csv": True, "b.csv": False}  # only the first one is parsed by a single task
+
+
+def test_bad_rows_of_reordered_files(spark, tmp_path):
+    put(tmp_path / "b", "a.csv", "cost,item_id,item_name,brand,vendor_id,category,department\n1.5,I1,Pan,M,V1,A,D\nx,I2,Pan,M,V1,A,D\n")
+    good, bad = files.split_bad_rows(spark, str(tmp_path / "b"), "products")
+    assert records(good, "item_id", "cost") == [("I1", 1.5)]
+    assert records(bad, "item_id", "cost") == [("I2", "x")] and bad.first()[files.FAILED] == ["cost"]
