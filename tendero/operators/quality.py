@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tendero.functions import line_amount, money, month_index_diff, ratio, week_start
-from tendero.operators.base import DateLike, completed, horizon_or_last, union_all
+from tendero.operators.base import DateLike, completed, completed_lines, horizon_or_last, union_all
 from tendero.operators.cohorts import cohort_activity, loyalty_months
 from tendero.operators.experiments import multi_variant_stores
 from tendero.schemas import RETURNED, TABLE_NAMES, WITH_CUSTOMER, WITHOUT_CUSTOMER, Tables
@@ -322,13 +322,15 @@ def weekly_ticket_drops(tables: Tables, drop: float = 0.30, weeks: int = 4) -> D
 
 def dq_kpi_rules(
     tables: Tables, horizon: DateLike | None = None, active_days: int = 180, drop: float = 0.30,
-    first_months: DataFrame | None = None,
+    first_months: DataFrame | None = None, gaps: DataFrame | None = None,
 ) -> DataFrame:
     """Rules that tell a broken KPI input from a bad week: (rule, failed, total).
 
     ``first_months`` is the stored first purchase month (customer_id, mes_primera_compra).  Purchases
-    before it show that it is out of date; without it, cohorts are computed from the tickets
-    themselves, and the rule can only confirm them."""
+    before it show that it is out of date, and rows without a customer belong to no cohort; without it,
+    cohorts are computed from the tickets themselves, and the rule can only confirm them.  ``gaps`` are
+    stored stock gaps (store_id, item_id, fecha_inicio_ausencia): an item without a sale before its
+    gap was not there to be missed."""
     last = horizon_or_last(tables, horizon)
     tx, products, stores = tables["transactions"], tables["products"], tables["stores"]
 
@@ -348,8 +350,15 @@ def dq_kpi_rules(
     vendor_known = products.join(
         tables["vendors"].select("vendor_id", F.lit(True).alias("known")), "vendor_id", "left"
     )
+    stored = []
+    if gaps is not None:
+        first_sales = completed_lines(tables).groupBy("store_id", "item_id").agg(F.min("transaction_date").alias("first_day"))
+        begun = gaps.select("store_id", "item_id", "fecha_inicio_ausencia").join(first_sales, ["store_id", "item_id"], "left")
+        unsold = F.col("first_day").isNull() | (F.col("first_day") >= F.col("fecha_inicio_ausencia"))
+        stored.append(rules(begun, ausencia_sin_ventas_previas=unsold))
     cohorts = cohort_activity(tables, months=None)
     if first_months is not None:
+        stored.append(rules(first_months, cohorte_sin_cliente=F.col("customer_id").isNull()))
         relative = month_index_diff(F.col("mes_compra"), F.col("mes_primera_compra"))
         cohorts = loyalty_months(tables).join(first_months, "customer_id").withColumn("mes_relativo", relative)
     return union_all(
@@ -369,5 +378,6 @@ def dq_kpi_rules(
                 vendor_inexistente=F.col("known").isNull(),
             ),
             rules(catalogue, item_sin_ventas_recientes=never_or_old, item_sin_historia=F.col("last_day").isNull()),
+            *stored,
         ]
     )

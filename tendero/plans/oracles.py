@@ -132,6 +132,14 @@ _STORE_DAY_KEYS = " GROUP BY ALL"
 oracle("store_day", _STORE_DAY + _STORE_DAY_KEYS)
 oracle("store_day_filtered", _STORE_DAY + """ WHERE s.country = 'AMERICA' AND s.format = 'SUPERMERCADO'
   AND transaction_date BETWEEN DATE '2001-01-01' AND DATE '2001-08-01'""" + _STORE_DAY_KEYS)
+oracle("store_day_stored", _STORE_DAY + """ WHERE s.country = 'AMERICA' AND s.format = 'SUPERMERCADO'
+  AND transaction_date BETWEEN DATE '2001-01-01' AND DATE '2001-08-01'""" + _STORE_DAY_KEYS)
+oracle("store_day_quarter", _STORE_DAY + " WHERE quarter(transaction_date) = 2" + _STORE_DAY_KEYS)
+oracle("distinct_rollup", f"""
+SELECT CAST(strftime(transaction_date, '%Y%m') AS INTEGER) AS month, format, {total(NET)} AS gmv,
+       COUNT(DISTINCT transaction_id) AS tickets, COUNT(DISTINCT customer_id) AS customers,
+       TRUE AS tickets_within, TRUE AS customers_within
+FROM transactions t JOIN stores s ON s.store_id = t.store_id GROUP BY ALL""")
 oracle("save_table", _STORE_DAY + _STORE_DAY_KEYS)
 oracle("export_json", f"SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM ({_STORE_DAY + _STORE_DAY_KEYS})")
 oracle("preview", f"""
@@ -471,13 +479,31 @@ sold AS (
   SELECT p.item_id, MAX(t.transaction_date) AS last_day
   FROM products p LEFT JOIN (transaction_items i JOIN transactions t
     ON t.transaction_id = i.transaction_id AND t.status = 'COMPLETED') ON i.item_id = p.item_id
-  GROUP BY p.item_id)
+  GROUP BY p.item_id),
+stored_months AS (
+  SELECT IF(customer_id % 11 <> 0, customer_id, NULL) AS customer_id,
+         CAST(IF(customer_id % 7 = 0, c + INTERVAL 2 MONTH, c) AS DATE) AS c FROM firsts),
+bought AS (
+  SELECT DISTINCT customer_id, CAST(date_trunc('month', transaction_date) AS DATE) AS m FROM transactions
+  WHERE status = 'COMPLETED' AND loyalty_card AND customer_id IS NOT NULL),
+compared AS (SELECT m < c AS early FROM bought JOIN stored_months USING (customer_id)),
+first_sales AS (
+  SELECT store_id, item_id, MIN(transaction_date) AS f FROM transaction_items i JOIN transactions t
+    ON t.transaction_id = i.transaction_id AND t.status = 'COMPLETED' GROUP BY ALL),
+stored_gaps AS (
+  SELECT store_id, item_id, IF(item_id % 13 = 0, a - 400, a) AS a FROM (
+    SELECT store_id, item_id, d + 1 AS a, COALESCE(LEAD(d) OVER (PARTITION BY store_id, item_id ORDER BY d) - 1, DATE '2001-08-01') AS b
+    FROM (SELECT DISTINCT store_id, item_id, transaction_date AS d FROM transaction_items i JOIN transactions t
+            ON t.transaction_id = i.transaction_id AND t.status = 'COMPLETED' WHERE transaction_date <= DATE '2001-08-01'))
+  WHERE b - a + 1 >= 3)
 SELECT 'superficie_nula_o_cero' AS rule, COUNT(*) FILTER (size_sqm IS NULL OR size_sqm <= 0) AS failed, COUNT(*) AS total FROM stores
 UNION ALL SELECT 'venta_negativa_sin_devolucion', COUNT(*) FILTER (total_amount < 0 AND status <> 'RETURNED'), COUNT(*) FROM transactions
 UNION ALL SELECT 'ticket_no_positivo', COUNT(*) FILTER (total_amount <= 0), COUNT(*) FROM transactions
 UNION ALL SELECT 'tarjeta_sin_cliente', COUNT(*) FILTER (customer_id IS NULL AND loyalty_card), COUNT(*) FROM transactions
 UNION ALL SELECT 'caida_de_transacciones', COUNT(*) FILTER (tx < m * CAST(1 - CAST(0.3 AS DOUBLE) AS DOUBLE)), COUNT(*) FROM drops
-UNION ALL SELECT 'mes_relativo_negativo', COUNT(*) FILTER (mes_relativo < 0), COUNT(*) FROM activity
+UNION ALL SELECT 'mes_relativo_negativo', COUNT(*) FILTER (early), COUNT(*) FROM compared
+UNION ALL SELECT 'cohorte_sin_cliente', COUNT(*) FILTER (customer_id IS NULL), COUNT(*) FROM stored_months
+UNION ALL SELECT 'ausencia_sin_ventas_previas', COUNT(*) FILTER (f IS NULL OR f >= a), COUNT(*) FROM stored_gaps LEFT JOIN first_sales USING (store_id, item_id)
 UNION ALL SELECT 'costo_nulo_o_cero', COUNT(*) FILTER (cost IS NULL OR cost <= 0), COUNT(*) FROM products
 UNION ALL SELECT 'vendor_inexistente', COUNT(*) FILTER (vendor_id IS NULL OR vendor_id NOT IN (SELECT vendor_id FROM vendors)), COUNT(*) FROM products
 UNION ALL SELECT 'item_sin_ventas_recientes', COUNT(*) FILTER (last_day IS NULL OR DATE '2001-08-01' - last_day > 180), COUNT(*) FROM sold

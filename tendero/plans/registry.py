@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tendero.operators import base, cohorts, experiments, incremental, kpis, marts, mix, quality, sales, series, stockgaps
+from tendero.operators import base, cohorts, experiments, incremental, kpis, marts, mix, quality, rollups, sales, series, stockgaps
 from tendero.functions import net_amount
 from tendero.operators import timeseries as ts
 from tendero.plans import jobs
@@ -198,11 +198,28 @@ for _name, _plan in {
     "dq_multi_variant_stores": quality.dq_multi_variant_stores,
     "dq_profile": quality.dq_profile,
     "dq_findings": quality.dq_findings,
-    "dq_kpi_rules": lambda t: quality.dq_kpi_rules(t, HORIZON),
 }.items():
     query(_name)(_plan)
 
 
+@session_query("dq_kpi_rules")
+def _kpi_rules(spark: SparkSession, directory: str) -> DataFrame:
+    """Against a stored dimension and stored gaps that are partly wrong: first months that are too late or belong
+    to nobody, and gaps that begin before the item's first sale."""
+    t, folder = benchmark.retail_tables(spark, directory), work_folder(spark, "kpi-rules")
+    customer, month = F.col("customer_id"), F.col("mes_primera_compra")
+    months = cohorts.customer_first_month(t).select(
+        F.when(customer % 11 != 0, customer).alias("customer_id"),
+        F.when(customer % 7 == 0, F.add_months(month, 2)).otherwise(month).alias("mes_primera_compra"),
+    )
+    start = F.col("fecha_inicio_ausencia")
+    gaps = stockgaps.stock_gaps(t, horizon=HORIZON).select(
+        "store_id", "item_id", F.when(F.col("item_id") % 13 == 0, F.date_sub(start, 400)).otherwise(start).alias("fecha_inicio_ausencia")
+    )
+    stored = [sinks.save(frame, path=f"{folder}/{k}") for k, frame in enumerate((months, gaps))]
+    return quality.dq_kpi_rules(t, HORIZON, first_months=stored[0], gaps=stored[1])
+
+
 @query("dq_duplicate_keys")
 def _duplicates(t: Tables) -> DataFrame:
     return quality.dq_duplicate_keys(t["transaction_items"], ("transaction_item_id",))
@@ -251,6 +268,43 @@ query("store_day_filtered")(
     lambda t: sales.store_day(t, country="AMERICA", format="SUPERMERCADO", start=LOAD_CUT, end=HORIZON)
 )
 
+
+@session_query("store_day_stored")
+def _store_day_stored(spark: SparkSession, directory: str) -> DataFrame:
+    path = work_folder(spark, "store-day-mart")
+    mart = rollups.save_store_day(benchmark.retail_tables(spark, directory), path)
+    rows = rollups.store_day_between(mart, LOAD_CUT, HORIZON, country="AMERICA", format="SUPERMERCADO")
+    return rows.drop("month", "tickets_sketch", "customers_sketch")
+
+
+@session_query("store_day_quarter")
+def _store_day_quarter(spark: SparkSession, directory: str) -> DataFrame:
+    """The second quarter of every year, as the stored date dimension has it."""
+    t, folder = benchmark.retail_tables(spark, directory), work_folder(spark, "store-day-quarter")
+    mart = rollups.save_store_day(t, f"{folder}/mart")
+    dates = sinks.save(marts.dim_date(t), path=f"{folder}/dim_date")
+    return rollups.store_day_on(mart, dates.filter("trimestre = 2")).drop("month", "tickets_sketch", "customers_sketch")
+
+
+@session_query("distinct_rollup")
+def _distinct_rollup(spark: SparkSession, directory: str) -> DataFrame:
+    """Sales by month and format from the mart, and whether the merged sketches are within five standard errors
+    of the exact counts."""
+    t = benchmark.retail_tables(spark, directory)
+    mart = rollups.save_store_day(t, work_folder(spark, "store-day-mart"))
+    keys = ("month", "format")
+    exact = (
+        t["transactions"].join(t["stores"].select("store_id", "format"), "store_id")
+        .groupBy(F.date_format("transaction_date", "yyyyMM").cast("int").alias("month"), "format")
+        .agg(F.count_distinct("transaction_id").alias("tickets"), F.count_distinct("customer_id").alias("customers"))
+    )
+    close = [
+        (F.abs(F.col(f"{n}_estimate") - F.col(n)) <= F.col(n) * 5 * 1.04 / 2 ** (rollups.LOG_K / 2)).alias(f"{n}_within")
+        for n in rollups.SKETCHED
+    ]
+    return rollups.distinct_rollup(mart, *keys).join(exact, list(keys)).select(*keys, "gmv", *rollups.SKETCHED, *close)
+
+
 # ---------------------------------------------------------------- cohorts
 query("cohort_activity")(cohorts.cohort_activity)
 query("cohort_retention")(cohorts.cohort_retention)
