@@ -957,12 +957,33 @@ slots AS (
   WINDOW w AS (PARTITION BY store_id, dayofweek(h), hour(h) ORDER BY h ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
 SELECT store_id, strftime(h, {TS}) AS hour, n AS tickets, {div('s', 'c')} AS expected,
        never OR COALESCE(n < {div('s', 'c')} * 0.5, FALSE) AS late FROM slots""")
+# The batch form's own week, with one more store that never reports.
+oracle("stream_freshness", f"""
+watched AS (SELECT store_id FROM stores UNION ALL SELECT 100),
+live AS (
+  SELECT * FROM feed WHERE ts < TIMESTAMP '2024-01-29'),
+hourly AS (SELECT store_id, date_trunc('hour', ts) AS h, COUNT(*) AS n FROM live GROUP BY ALL),
+begun AS (SELECT store_id, MIN(h) AS f FROM hourly WHERE h < TIMESTAMP '2024-01-22' GROUP BY store_id),
+spine AS (
+  SELECT w.store_id, f IS NULL AS never, UNNEST(generate_series(
+           COALESCE(f, TIMESTAMP '2024-01-01'), TIMESTAMP '2024-01-28 23:00:00', INTERVAL 1 HOUR)) AS h
+  FROM watched w LEFT JOIN begun USING (store_id)),
+dense AS (SELECT s.store_id, never, s.h, COALESCE(n, 0) AS n FROM spine s LEFT JOIN hourly USING (store_id, h)),
+slots AS (
+  SELECT *, SUM(n) OVER w AS s, COUNT(*) OVER w AS c FROM dense
+  WINDOW w AS (PARTITION BY store_id, dayofweek(h), hour(h) ORDER BY h ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+SELECT store_id, strftime(h, {TS}) AS hour, n AS tickets, CASE WHEN NOT never THEN {div('s', 'c')} END AS expected,
+       never OR COALESCE(n < {div('s', 'c')} * 0.5, FALSE) AS late
+FROM slots WHERE h >= TIMESTAMP '2024-01-22' AND h + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM live)
+  AND h IN (SELECT h FROM hourly)""")
 _UPDATED = "ROUND(total_amount + IF(status = 'RETURNED', 1, 0), 2)"
 oracle("merge_upsert", f"""
 SELECT * REPLACE ({_UPDATED} AS total_amount),
        CASE WHEN transaction_date >= DATE '2001-01-01' THEN 'inserted' WHEN status = 'RETURNED' THEN 'updated'
             ELSE 'unchanged' END AS merge_action FROM transactions""")
 oracle("upsert_partitions", f"SELECT * REPLACE ({_UPDATED} AS total_amount) FROM transactions")
+oracle("stream_upsert", f"""
+SELECT transaction_id, {_UPDATED} AS total_amount, status, payment_method, 1 AS version FROM transactions""")
 oracle("latest_per_key", """
 SELECT transaction_item_id, MAX(transaction_id) AS transaction_id, MAX(unit_price) AS unit_price
 FROM transaction_items GROUP BY transaction_item_id""")
@@ -1002,6 +1023,18 @@ ORACLES["run_marts"] = " UNION ALL ".join(
     f"SELECT '{mart}' AS tabla, COUNT(*) AS filas FROM ({ORACLES[name]})" for mart, name in _MART_NAMES.items()
 )
 
+ORACLES["stored_layout"] = ORACLES["category_sales"]
+_REPORTS = {
+    "comp_sales_store": "comp_sales_store", "comp_sales_country_format": "comp_sales_country_format",
+    "productivity_store": "store_productivity", "cohort_retention": "cohort_retention", "cohort_ticket": "cohort_retention",
+    "vendor_margin": "vendor_margin_return", "promo_basket_category": "promo_impact_long",
+    "weekly_sales_format": "weekly_change", "pareto_category_format": "pareto",
+}
+ORACLES["export_reports"] = " UNION ALL ".join(
+    [f"SELECT '{report}' AS reporte, COUNT(*) AS filas FROM ({ORACLES[name]})" for report, name in _REPORTS.items()]
+    + [f"SELECT 'stock_gaps_top', LEAST(1000, COUNT(*)) FROM ({ORACLES['stock_gaps']})"]
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

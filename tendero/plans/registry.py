@@ -7,6 +7,7 @@ can be compared with them; columns that depend on floating-point summation order
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,9 @@ from tendero.operators import timeseries as ts
 from tendero.plans import jobs
 from tendero.schemas import RETURNED, Tables
 from tendero.session import work_folder
-from tendero.sources import benchmark, files, sinks, versions
+from tendero.sources import benchmark, files, layout, sinks, versions
 from tendero.streaming import feed as streams
+from tendero.streaming import freshness
 from tendero.streaming.alerts import live_alerts
 
 # Parameters that fit the benchmark data (orders run from 1995-01-01 to 2001-08-01).
@@ -173,6 +175,27 @@ def _export_json(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.schema(result.schema).json(path)
 
 
+@session_query("export_reports")
+def _export_reports(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines of each report file, read back."""
+    paths = jobs.export_reports(benchmark.retail_tables(spark, directory), PERIODS, work_folder(spark, "reports"))
+    return base.union_all(
+        [
+            spark.read.option("header", True).option("escape", '"').csv(path)
+            .agg(F.count("*").alias("filas")).select(F.lit(path.rsplit("/", 1)[1]).alias("reporte"), "filas")
+            for path in paths
+        ]
+    )
+
+
+@session_query("stored_layout")
+def _stored_layout(spark: SparkSession, directory: str) -> DataFrame:
+    """Net sales by category over the bucketed tables: lines and tickets meet in place."""
+    prefix = f"retail_{uuid.uuid4().hex[:8]}"
+    layout.store_retail(benchmark.retail_tables(spark, directory), prefix, buckets=8)
+    return sales.category_sales(layout.stored_retail(spark, prefix))
+
+
 query("dashboard_retention")(jobs.dashboard_retention)
 
 
@@ -513,6 +536,36 @@ def _freshness(spark: SparkSession, directory: str) -> DataFrame:
     return incremental.freshness_expected(benchmark.event_feed(spark, directory), stores=stores)
 
 
+@session_query("stream_freshness")
+def _stream_freshness(spark: SparkSession, directory: str) -> DataFrame:
+    """The fourth week live, against the profile of the three weeks before; store 100 never reports."""
+    folder, monday = work_folder(spark, "freshness"), F.lit("2024-01-22 00:00:00").cast("timestamp")
+    stores = benchmark.retail_tables(spark, directory)["stores"].select("store_id")
+    stores = stores.unionByName(stores.filter("store_id = 0").withColumn("store_id", F.col("store_id") + 100))
+    profile = freshness.slot_profile(benchmark.event_feed(spark, directory), monday, stores=stores)
+    profile = sinks.save(profile, path=f"{folder}/profile")
+    live = benchmark.event_stream(spark, directory).filter((F.col("ts") >= monday) & (F.col("ts") < monday + F.expr("interval 7 days")))
+    freshness.watch_freshness(live, profile, f"{folder}/judged", f"{folder}/checkpoint")
+    return spark.read.schema("store_id int, hour timestamp, tickets long, expected double, late boolean").parquet(f"{folder}/judged").select(
+        "store_id", "hour", "tickets", "expected", "late"
+    )
+
+
+@session_query("stream_upsert", total_amount=2)
+def _upsert_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """Tickets as loaded before the cut date, and every ticket again as a stream of corrections."""
+    t, folder = benchmark.retail_tables(spark, directory), work_folder(spark, "upsert-stream")
+    columns = ("transaction_id", "total_amount", "status", "payment_method")
+    target = sinks.save(
+        _load_target(t).select(*columns, F.lit(0).alias("version")), path=f"{folder}/table", partition_by=("payment_method",)
+    )
+    _load_updates(t).select(*columns, F.lit(1).alias("version")).write.parquet(f"{folder}/landing")
+    feed = spark.readStream.schema(target.schema).parquet(f"{folder}/landing")
+    keys = ("transaction_id", "payment_method")
+    streams.upsert_stream(feed, f"{folder}/table", f"{folder}/checkpoint", keys, "payment_method", "version")
+    return spark.read.schema(target.schema).parquet(f"{folder}/table").select(*columns, "version")
+
+
 def _load_target(t: Tables) -> DataFrame:
     """The table as loaded before the cut date."""
     return t["transactions"].filter(F.col("transaction_date") < F.lit(LOAD_CUT).cast("date"))

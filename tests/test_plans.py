@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="benchmark
 
 STREAMED = {n for n in entry.queries() if n.startswith("stream_")}
 STORED = {
-    "dq_kpi_rules", "store_day_stored", "store_day_quarter", "distinct_rollup",
+    "export_reports", "stored_layout", "dq_kpi_rules", "store_day_stored", "store_day_quarter", "distinct_rollup",
     "load_csv", "save_table", "run_marts", "export_csv", "export_json", "upsert_partitions", "load_csv_bad_rows", "reprocess_written", "published_days"}
 
 
