@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from tendero.llm.common import BATCH_ROWS, map_batches, texts
 
 BLANKS = re.compile(r"\s+")
+NOT_ONE_SPACE = re.compile(r"\s{2,}|[^\S ]")  # what changes when each run of white space becomes a space
 WORD = re.compile(r"\S+")
 STEP = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier for rolling hashes
 
@@ -54,7 +55,7 @@ def plain(text: str) -> str:
     lower = text.lower()
     if len(lower) != len(text):
         lower = "".join(x if len(x := c.lower()) == 1 else c for c in text)
-    return BLANKS.sub(" ", lower)
+    return NOT_ONE_SPACE.sub(" ", lower)
 
 
 def places(text: str) -> np.ndarray:
@@ -196,27 +197,63 @@ def regions(index: Index, text: str) -> np.ndarray:
     return np.stack([pairs[enough] // most, pairs[enough] % most], axis=1)
 
 
-def banded_alignment(segment: str, text: str, low: int, high: int, most: int) -> tuple[int, int] | None:
-    """The fewest edits (at most ``most``) that turn the segment into a part of the text, and where this
-    part ends, over diagonals from ``low`` to ``high``."""
-    far = most + 1
-    low -= most
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def banded_alignments(
+    wanted: list[tuple[str, int, int, int]], text: str, rows: int = 2048
+) -> list[tuple[int, int] | None]:
+    """For each (segment, low, high, most): the fewest edits (at most ``most``) that turn the segment into a
+    part of the text, and where this part ends, over diagonals from ``low`` to ``high``.  The segments go
+    through their characters together, ``rows`` of them at a time."""
+    codes, found = _codes(text), []
+    for at in range(0, len(wanted), rows):
+        found += _aligned(wanted[at : at + rows], codes)
+    return found
+
+
+def _aligned(wanted: list[tuple[str, int, int, int]], codes: np.ndarray) -> list[tuple[int, int] | None]:
+    segments = [_codes(s) for s, *_ in wanted]
+    low, high, most = (np.array(x, np.int64) for x in zip(*[w[1:] for w in wanted], strict=True))
+    low = low - most
     width = high + most - low + 1
-    own = np.frombuffer(segment.encode("utf-32-le", "surrogatepass"), np.uint32)
-    padded = np.zeros(len(own) + width, np.uint32)  # the text from place ``low`` on; 0 outside it
-    a, b = max(0, low), min(len(text), low + len(padded))
-    if a >= b:
-        return None
-    padded[a - low : b - low] = np.frombuffer(text[a:b].encode("utf-32-le", "surrogatepass"), np.uint32)
-    steps = np.arange(width)
-    cost = np.zeros(width, np.int64)  # the part may begin anywhere
-    for j, c in enumerate(own):
-        after = np.minimum(cost + (padded[j : j + width] != c), np.append(cost[1:], far) + 1)
-        cost = np.minimum(np.minimum.accumulate(after - steps) + steps, far)
-        if cost.min() > most:
-            return None
-    k = int(cost.argmin())
-    return int(cost[k]), min(len(text), low + k + len(own))
+    length = np.array([len(s) for s in segments], np.int64)
+    columns, longest = int(width.max()), int(length.max())
+    own = np.zeros((len(wanted), longest), np.uint32)
+    for row, segment in zip(own, segments, strict=True):
+        row[: len(segment)] = segment
+    places = low[:, None] + np.arange(longest + columns)  # the text from place ``low`` on; 0 outside it
+    inside = (places >= 0) & (places < len(codes))
+    padded = np.zeros(places.shape, np.uint32)
+    padded[inside] = codes[places[inside]]
+    steps = np.arange(columns, dtype=np.int32)
+    outside = steps >= width[:, None]
+    far = (most + 1).astype(np.int32)[:, None]
+    cost = np.where(outside, far, 0).astype(np.int32)  # the part may begin anywhere
+    found: list[tuple[int, int] | None] = [None] * len(wanted)
+    live = np.flatnonzero((np.maximum(low, 0) < np.minimum(len(codes), low + length + width)) & (length > 0))
+    for j in range(longest):
+        if not len(live):
+            break
+        limit, now = far[live], cost[live]
+        after = now + (padded[live, j : j + columns] != own[live, j : j + 1])
+        np.minimum(after[:, :-1], now[:, 1:] + 1, out=after[:, :-1])
+        np.minimum(after[:, -1:], limit + 1, out=after[:, -1:])
+        now = np.minimum(np.minimum.accumulate(after - steps, axis=1) + steps, limit)
+        now[outside[live]] = np.broadcast_to(limit, now.shape)[outside[live]]
+        cost[live] = now
+        near = now.min(axis=1) < limit[:, 0]
+        ended = length[live] == j + 1
+        for row in live[near & ended].tolist():
+            k = int(cost[row].argmin())
+            found[row] = int(cost[row, k]), min(len(codes), int(low[row]) + k + j + 1)
+        live = live[near & ~ended]
+    return found
+
+
+def banded_alignment(segment: str, text: str, low: int, high: int, most: int) -> tuple[int, int] | None:
+    return banded_alignments([(segment, low, high, most)], text)[0]
 
 
 def matches(index: Index, text: str, whole_words: bool = False) -> list[tuple[int, int, int, int, int]]:
@@ -226,16 +263,26 @@ def matches(index: Index, text: str, whole_words: bool = False) -> list[tuple[in
     given, text = text, plain(text)
     found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     done: set[tuple[int, int]] = set()
+
+    def hold(s: int, hit: tuple[int, int] | None) -> None:
+        if hit and (s, hit[1]) not in done:
+            done.add((s, hit[1]))
+            item, _, segment = index.segments[s]
+            found[item].append((max(0, hit[1] - len(segment)), hit[1], hit[0]))
+
+    edited = []
     for s, band in regions(index, text).tolist():
-        item, place, segment = index.segments[s]
+        _, place, segment = index.segments[s]
         low = band * index.width - index.shifted + place
         high = low + index.width + index.overlap
         most = int(index.allowed[s])
         start = text.find(segment, max(0, low - most), max(0, high + most) + len(segment))
-        hit = (0, start + len(segment)) if start >= 0 else banded_alignment(segment, text, low, high, most)
-        if hit and (s, hit[1]) not in done:
-            done.add((s, hit[1]))
-            found[item].append((max(0, hit[1] - len(segment)), hit[1], hit[0]))
+        if start >= 0:
+            hold(s, (0, start + len(segment)))
+        else:
+            edited.append((s, (segment, low, high, most)))
+    for (s, _), hit in zip(edited, banded_alignments([x for _, x in edited], text), strict=True):
+        hold(s, hit)
     for item, short in index.short:
         start = text.find(short)
         if start >= 0 and whole_words:
