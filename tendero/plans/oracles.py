@@ -974,8 +974,8 @@ slots AS (
   WINDOW w AS (PARTITION BY store_id, dayofweek(h), hour(h) ORDER BY h ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
 SELECT store_id, strftime(h, {TS}) AS hour, n AS tickets, CASE WHEN NOT never THEN {div('s', 'c')} END AS expected,
        never OR COALESCE(n < {div('s', 'c')} * 0.5, FALSE) AS late
-FROM slots WHERE h >= TIMESTAMP '2024-01-22' AND h + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM live)
-  AND h IN (SELECT h FROM hourly)""")
+FROM slots WHERE h >= (SELECT MIN(h) FROM hourly WHERE h >= TIMESTAMP '2024-01-22')
+  AND h <= (SELECT MAX(h) FROM hourly WHERE h + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM live))""")
 _UPDATED = "ROUND(total_amount + IF(status = 'RETURNED', 1, 0), 2)"
 oracle("merge_upsert", f"""
 SELECT * REPLACE ({_UPDATED} AS total_amount),

@@ -6,7 +6,8 @@ is seen as well."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendero.functions import ratio
@@ -14,6 +15,7 @@ from tendero.operators.incremental import hourly_tickets
 from tendero.streaming.feed import hourly_sales
 
 WEEK_HOURS = 168
+BATCH = "hours_to"
 
 
 def _slot(hour: Column) -> list[Column]:
@@ -40,28 +42,47 @@ def slot_profile(feed: DataFrame, until: Column, weeks: int = 3, stores: DataFra
     )
 
 
-def judged_hours(closed: DataFrame, profile: DataFrame, floor: float = 0.5) -> DataFrame:
-    """(store_id, hour, tickets, expected, late) of the hours in ``closed`` (window_start, store_id, tickets), for
-    every store of the profile.  Late is an hour under ``floor`` of its expectation, and any of a store that never
-    reported."""
-    hours = closed.select(F.col("window_start").alias("hour")).distinct().select("hour", *_slot(F.col("hour")))
+def judged_hours(closed: DataFrame, hours: DataFrame, profile: DataFrame, floor: float = 0.5) -> DataFrame:
+    """(store_id, hour, tickets, expected, late) of ``hours`` (column hour), for every store of the profile, from
+    the totals in ``closed`` (window_start, store_id, tickets).  Late is an hour under ``floor`` of its
+    expectation, and any of a store that never reported."""
+    slots = hours.select("hour", *_slot(F.col("hour")))
     sold = closed.select("store_id", F.col("window_start").alias("hour"), "tickets")
-    met = hours.join(profile, ["slot_day", "slot_hour"]).join(sold, ["store_id", "hour"], "left")
+    met = slots.join(profile, ["slot_day", "slot_hour"]).join(sold, ["store_id", "hour"], "left")
     tickets = F.coalesce("tickets", F.lit(0).cast("long"))
     short = ~F.col("reported") | F.coalesce(tickets < F.col("expected") * floor, F.lit(False))
     return met.select("store_id", "hour", tickets.alias("tickets"), "expected", short.alias("late"))
 
 
+def _judged_until(spark: SparkSession, path: str, before: int) -> int | None:
+    """The last hour (in seconds) of the batches that end before an hour."""
+    try:
+        batches = spark.read.schema(f"{BATCH} long").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return batches.filter(F.col(BATCH) < before).agg(F.max(BATCH)).first()[0]
+
+
 def watch_freshness(
     feed: DataFrame, profile: DataFrame, path: str, checkpoint: str, floor: float = 0.5, delay: str = "2 hours"
 ) -> None:
     """Drain the feed into the table of judged hours below ``path``.  An hour closes for all stores in the same
-    batch; a batch writes a folder that its hours name, so a replay replaces what it wrote before."""
+    batch, and a batch judges every hour up to its last one, also those in which no store sent anything.  It
+    writes a folder that its last hour names, so a replay replaces what it wrote before."""
 
     def judge(closed: DataFrame, _: int) -> None:
+        spark = closed.sparkSession
         first, last = closed.agg(F.min(F.unix_seconds("window_start")), F.max(F.unix_seconds("window_start"))).first()
-        if first is not None:
-            judged_hours(closed, profile, floor).write.mode("overwrite").parquet(f"{path}/hours={first}-{last}")
+        if last is None:
+            return
+        judged = _judged_until(spark, path, last)
+        start = F.timestamp_seconds(F.lit(first if judged is None else judged + 3600))
+        hours = spark.range(1).select(
+            F.explode(F.sequence(start, F.timestamp_seconds(F.lit(last)), F.expr("interval 1 hour"))).alias("hour")
+        )
+        judged_hours(closed, hours, profile, floor).write.mode("overwrite").parquet(f"{path}/{BATCH}={last}")
 
     (
         hourly_sales(feed, delay)
