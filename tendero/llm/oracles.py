@@ -41,7 +41,7 @@ kept AS (
   FROM cuts JOIN sized USING (doc_id) GROUP BY doc_id),
 removed AS (SELECT doc_id, SUM(b - a) AS removed, COUNT(*) AS n_spans FROM spans GROUP BY doc_id)
 SELECT doc_id, n AS n_bytes, CAST(COALESCE(removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
-       sha256(unhex(k)) AS kept_sha256
+       sha256(unhex(k)) AS kept_sha256, COALESCE(removed, 0) > 0 AS has_repeat
 FROM sized JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
 
 # The checksum of a decimal number's text, bit by bit.

@@ -66,7 +66,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.without_repeats(table(spark, sf_dir, "documents"), length=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("has_repeat"),
+    )
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
