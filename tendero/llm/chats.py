@@ -30,7 +30,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tendero.llm.common import materialise
@@ -153,8 +153,6 @@ def reply_paths(nodes: DataFrame, branches: int | None = 1, purpose: str = "repl
     )
     replies = replies.filter("there")
     if branches is not None:
-        from pyspark.sql import Window
-
         # Spark keeps the leading rows of each group before it shuffles: no message is too popular.
         ranked = Window.partitionBy("tree", "parent").orderBy(F.col("score").desc_nulls_last(), "node")
         replies = replies.withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= branches)
@@ -172,7 +170,6 @@ def reply_paths(nodes: DataFrame, branches: int | None = 1, purpose: str = "repl
     leaves = kept if answered is None else kept.join(answered, ["tree", "node"], "left_anti")
     leaves = leaves.join(hop.select("tree", "node"), ["tree", "node"], "left_anti")
     found = leaves.select("tree", F.col("node").alias("path"), F.lit(0).cast("long").alias("steps"), "node")
-    # Where a branch was cut off above, the path does not reach a root.
     for k in reversed(range(len(hops))):
         found = materialise(found, f"{purpose}-from-{k}")
         found = found.unionByName(
@@ -182,6 +179,7 @@ def reply_paths(nodes: DataFrame, branches: int | None = 1, purpose: str = "repl
         )
     if branches is None or not hops:
         return found
+    # Below a reply that was cut off, paths do not reach a root.
     found = materialise(found, f"{purpose}-found")
     begun = found.join(roots, ["tree", "node"], "left_semi").select("tree", "path")
     return found.join(begun, ["tree", "path"], "left_semi")
