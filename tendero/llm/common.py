@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tendero.session import work_folder
 
-BATCH_ROWS = "512"  # long texts: an Arrow batch of this many rows stays small in a Python worker
+# Long texts: an Arrow batch of this many rows, or as many as make this many bytes, stays small in a
+# Python worker.
+BATCH_ROWS, BATCH_BYTES = "512", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text (null: empty); whatever other columns there are do not matter."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

@@ -12,7 +12,7 @@ From these, each node's most promising pairs are verified on full sets and joine
 Then the other pairs across components are tried, unless the union of their sketches rules a link
 out.  Where a long list still holds several components, its pairs come from full sets instead: a link
 needs 3 / 7 of both sizes in common, so values that no other such node holds come first, and nodes
-with too many of them meet nobody.  Pairs inside a component cannot change it and are left out.
+with too many of them meet nobody of their size.  Pairs inside a component cannot change it and are left out.
 
 Edge cases: a null or empty text has an empty set and is linked with nothing; fewer words than five
 are one shingle; rows with equal doc_id count as one document where their texts are linked; rows with a
@@ -22,7 +22,9 @@ than doc_id and text do not matter."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 import re
 from dataclasses import dataclass
 
@@ -38,6 +40,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+").findall
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPAN = 5
 WORD_LIMIT = 500_000
+BIT_WORDS = 8
 
 
 @dataclass(frozen=True)
@@ -104,6 +107,13 @@ class Shingles:
         return np.unique(h)
 
 
+def odd_bits(values: np.ndarray) -> np.ndarray:
+    """The parity of the number of values in each of 512 classes, as 8 words: two sets whose bits differ
+    at d places differ in d values or more."""
+    counts = np.bincount(((values >> np.uint64(20)) & np.uint64(64 * BIT_WORDS - 1)).astype(np.int64), minlength=64 * BIT_WORDS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
 def text_digest(text: F.Column) -> F.Column:
     """128 bits that stand for a text (null: empty)."""
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
@@ -204,7 +214,7 @@ class NearDuplicates:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """a, b and their exact intersection and union, for pairs of nodes."""
-        shingled = self.shingled
+        shingled = self.shingled.select("node", "set")
         sides = pairs.join(shingled.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
             shingled.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
         )
@@ -244,35 +254,57 @@ class NearDuplicates:
 
             def work(batch: pa.RecordBatch) -> dict:
                 held = [shingles(t) for t in batch.column("text").to_pylist()]
-                return {"node": batch.column("node"), "set": _list_array(held)}
+                return {"node": batch.column("node"), "set": _list_array(held), "bits": _list_array([odd_bits(x) for x in held])}
 
             return work
 
         named = docs.join(nodes.where("NOT nameless"), ["doc_id", "own"])
         nameless = docs.where("doc_id IS NULL").join(nodes.where("nameless").select("node", "own"), "own")
-        of_texts = lambda found: map_batches(found.select("node", "text"), make, "node long, set array<long>")
+        of_texts = lambda found: map_batches(found.select("node", "text"), make, "node long, set array<long>, bits array<long>")
         whole = of_texts(named).unionAll(of_texts(nameless).dropDuplicates(["node"]))
         self.shingled = materialise(whole, "neardup-sets")
 
     def of_full_sets(self, nodes: DataFrame) -> DataFrame:
         """Pairs of nodes (node, n, component) of different components that may be linked: the prefix
-        filter once more, exact, over all values of these nodes."""
+        filter once more, exact, over all values of these nodes, and a bound on the values they differ in.
+
+        Sets of n and m values are linked if they share 3 / 7 of n + m (at least ``need``), so the first
+        value in common stands at one of the first n - need + 1 places of the one and m - need + 1 of the
+        other.  A value at some place is thus indexed for partners up to a size only, by classes of
+        sizes.  A node that differs from all others in a seventh of its values meets none of its size or
+        larger, however common its other values are.  Linked sets differ in at most a seventh of n + m
+        values, which ``odd_bits`` tells for most others while the pairs meet."""
         s = self.s
-        values = self.shingled.join(nodes, "node").select("node", "n", "component", F.explode("set").alias("v"))
+        bits = [f"bits{k}" for k in range(BIT_WORDS)]
+        held_bits = [F.col("bits")[k].alias(name) for k, name in enumerate(bits)]
+        values = self.shingled.join(nodes, "node").select("node", "n", "component", *held_bits, F.explode("set").alias("v"))
         held = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         by_node = Window.partitionBy("node")
         ranked = (
             values.join(held, "v")
             .withColumn("common", F.count(F.lit(1)).over(by_node))
-            .withColumn("rank", F.row_number().over(by_node.orderBy("df", "v")))
+            .withColumn("place", F.col("n") - F.col("common") + F.row_number().over(by_node.orderBy("df", "v")))
+        )
+        # Sizes of partners for which this place is early enough, as classes of sizes within 5 %.
+        both, n = s.shared + s.union, F.col("n")
+        small = F.ceil(n * s.shared / s.union)
+        large = F.least(F.floor(n * s.union / s.shared), F.floor(both * (n - F.col("place") + 1) / s.shared) - n)
+        size_class = lambda size: F.floor(F.log(size) / float(np.log(1.05))).cast("int")
+        entries = ranked.withColumn("large", large).where(F.col("large") >= small).select(
+            "v", "node", "n", "place", "component", *bits, size_class(n).alias("own"),
+            F.explode(F.sequence(size_class(small), size_class(F.col("large")))).alias("other"),
         )
-        first = F.col("n") - F.col("common") + F.col("rank") <= F.col("n") - F.ceil(F.col("n") * s.threshold) + 1
-        kept = materialise(ranked.where(first).select("v", "node", "n", "common", "component"), "neardup-prefixes")
+        kept = materialise(entries, "neardup-prefixes")
         a, b = (kept.select("v", *(F.col(c).alias(f"{c}_{x}") for c in kept.columns[1:])) for x in ("a", "b"))
-        # J >= t needs t / (1 + t) of both sizes in common.
-        enough = (s.shared + s.union) * F.least("common_a", "common_b") >= s.shared * (F.col("n_a") + F.col("n_b"))
-        met = a.join(b, "v").where("node_a < node_b AND component_a != component_b").where(enough).where(self.similar_sizes())
-        return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        classes = (F.col("own_a") == F.col("other_b")) & (F.col("other_a") == F.col("own_b"))
+        once = (F.col("own_a") < F.col("own_b")) | ((F.col("own_a") == F.col("own_b")) & (F.col("node_a") < F.col("node_b")))
+        left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+        enough = both * left >= s.shared * (F.col("n_a") + F.col("n_b"))
+        differ = functools.reduce(operator.add, (F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in bits))
+        few = both * differ <= (s.union - s.shared) * (F.col("n_a") + F.col("n_b"))
+        apart = F.col("component_a") != F.col("component_b")
+        met = a.join(b, (a.v == b.v) & classes & once & apart & enough & few)
+        return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
     def links(self) -> DataFrame:
         """Links that join all nodes which any links join."""
@@ -352,10 +384,19 @@ def near_duplicates(docs: DataFrame, sketching: Sketching = Sketching()) -> Data
 def representatives(docs: DataFrame, sketching: Sketching = Sketching()) -> DataFrame:  # noqa: B008
     """One document for each component of ``near_duplicates``, with all its columns: the smallest id,
     then the smallest text digest.  Of rows with the same doc_id and text one stays."""
-    kept = NearDuplicates(docs, sketching).classes().where("head").select(
-        F.col("doc_id").alias("_kept_id"), F.col("own").alias("_kept_text")
+    found = NearDuplicates(docs, sketching)
+    heads = found.classes().where("head").select("doc_id", "own").distinct()
+    times = found.rows.groupBy("doc_id", "own").agg(F.count(F.lit(1)).alias("times"))
+    same = heads["doc_id"].eqNullSafe(times["doc_id"]) & (heads["own"] == times["own"])
+    kept = materialise(
+        times.join(heads, same, "left_semi").select(
+            F.col("doc_id").alias("_kept_id"), F.col("own").alias("_kept_text"), (F.col("times") > 1).alias("_again")
+        ),
+        "neardup-heads",
     )
     given = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_digest(F.col("text")))
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
-    once = given.join(kept.distinct(), same, "left_semi").dropDuplicates(["_id", "_text"])
-    return once.select(*docs.columns)
+    on = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
+    # Whole texts move once, for the join; only rows that stand several times are grouped after it.
+    once = given.join(kept.where("NOT _again"), on, "left_semi")
+    again = given.join(kept.where("_again"), on, "left_semi").dropDuplicates(["_id", "_text"])
+    return once.unionAll(again).select(*docs.columns)

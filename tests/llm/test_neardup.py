@@ -144,3 +144,30 @@ def test_components_of_long_chains(spark):
 def test_empty_tables(corpus):
     assert neardup.near_duplicates(corpus([])).count() == 0
     assert neardup.representatives(corpus([])).count() == 0
+
+
+def test_group_of_near_copies_that_are_not_linked(corpus):
+    """Copies of one text with similarities around and below the threshold, of several lengths."""
+    rng = random.Random(21)
+    base = prose(rng, 90).split()
+    rows = []
+    for doc in range(220):
+        own = list(base)
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randrange(len(own))
+            own[at : at + 1] = rng.choice([[], [prose(rng, 1)], [own[at], prose(rng, 1)]])
+        rows.append((doc, " ".join(own)))
+    docs = corpus(rows)
+    found = rows_of(neardup.near_duplicates(docs, Sketching(short_list=3)))
+    assert key((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == key(brute(rows))
+    assert 20 < sum(r["kept"] for r in found) < 200
+
+
+def test_odd_bits_bound_the_difference():
+    rng = random.Random(22)
+    make = neardup.Shingles()
+    for _ in range(50):
+        x, y = (make(prose(rng, rng.randint(1, 400))) for _ in range(2))
+        differ = sum(int(p ^ q).bit_count() for p, q in zip(neardup.odd_bits(x), neardup.odd_bits(y), strict=True))
+        assert differ <= len(set(x.tolist()) ^ set(y.tolist()))
+    assert not neardup.odd_bits(make("")).any()
