@@ -1,12 +1,14 @@
 """Quality rules with risk-controlled cutoffs.
 
-Fixed rules reject what is too short or repeats itself.  Further rules compare a text's features
-with cutoffs that are learnt per stratum (the language): on labelled documents, cutoffs are tested
-from the most lenient one down, each by the exact binomial tail.  A cutoff holds while its false
-rejection rate is shown to be at most ``alpha / features`` at level ``delta / (features x strata)``
-(fixed-sequence testing within a feature, Bonferroni across features and strata).  So with
-probability ``1 - delta`` no stratum loses more than ``alpha`` of its good documents.  Of the cutoffs
-that hold, the one with the best balance of good and bad rejections is taken, in the middle of equals.
+Fixed rules reject what is too short or repeats itself.  A further rule compares a text's features
+with cutoffs that are learnt per stratum (the language).  One labelled document in five (by a hash of
+its id) and the bad ones lay out a sequence of joint rules, each stricter than the one before in one
+feature: what catches most bad texts for each good one comes first.  The good documents of the other
+four fifths then test the sequence from the most lenient rule on, each rule by the exact binomial
+tail: it holds while its false rejection rate is shown to be at most ``alpha`` at level
+``delta / strata`` (fixed-sequence testing within a stratum, Bonferroni across strata).  So with
+probability ``1 - delta`` no stratum loses more than ``alpha`` of its good documents.  Of the rules that
+hold, the one with the best balance of good and bad rejections is taken, in the middle of equals.
 A stratum with too few labels to show anything gets no cutoff.
 
 Edge cases: a null or empty text has no words and fails the fixed rules; a null language is a
@@ -38,6 +40,8 @@ FEATURES = {
     "marked": ("n_marked", "n_words"),
 }
 GRID = 200  # cutoffs of a feature
+SHAPE = 5  # one good labelled document in so many lays out the rules, the others test them
+PRIOR = 2.0  # good texts that a feature's levels are taken to hold beyond the sample
 MEASURED = "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)
 
 
@@ -106,6 +110,11 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
+def _labelled(labels: DataFrame) -> DataFrame:
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("label"))
+
+
 def _level(name: str) -> Column:
     """A feature on the grid: the highest cutoff that it is above, -1 for none."""
     part, whole = FEATURES[name]
@@ -114,12 +123,12 @@ def _level(name: str) -> Column:
 
 
 def choose(good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> int | None:
-    """The cutoff (as a grid step) from counts of good and bad labelled texts by level + 1."""
+    """The cutoff from counts of good and bad labelled texts by level + 1; tested from the highest down."""
     n = int(good.sum())
-    lost = good[::-1].cumsum()[::-1][1:]  # by cutoff: good texts above it
+    lost = good[::-1].cumsum()[::-1][1:]  # by cutoff: good texts at it or above
     caught = bad[::-1].cumsum()[::-1][1:]
     held = []
-    for cutoff in range(GRID - 1, -1, -1):
+    for cutoff in range(len(lost) - 1, -1, -1):
         if n == 0 or binomial_tail(int(lost[cutoff]), n, alpha) > delta:
             break
         held.append(cutoff)
@@ -130,30 +139,84 @@ def choose(good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> int
     return best[len(best) // 2] if max(gain) > 0 else None
 
 
+def sequence(good: np.ndarray, bad: np.ndarray) -> list[tuple[int, int]]:
+    """Joint rules from the most lenient on: (feature, cutoff) lowers that feature's cutoff.
+
+    ``good`` and ``bad`` count labelled texts by feature and level + 1.  A feature goes down along the
+    cutoffs that catch most bad texts for each good one; a few good texts spread evenly over the
+    levels (``PRIOR``) stand for what the sample does not show."""
+    moves = []
+    for feature in range(len(good)):
+        lost = good[feature][::-1].cumsum()[::-1][1:] + PRIOR * (1 - np.arange(GRID) / GRID)
+        caught = bad[feature][::-1].cumsum()[::-1][1:]
+        at, so_far, paid = GRID, 0, 0.0
+        while at > 0:
+            worth = (caught[:at] - so_far) / (lost[:at] - paid)
+            step = int(np.flatnonzero(worth == worth.max())[0])
+            if worth[step] <= 0:
+                break
+            moves.append((-float(worth[step]), feature, step))
+            at, so_far, paid = step, caught[step], lost[step]
+    return [(feature, step) for _, feature, step in sorted(moves, key=lambda m: (m[0], m[1], -m[2]))]
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.1) -> dict[str, dict[str, int]]:
-    """Cutoffs by stratum and feature.  What reaches the driver is a histogram: at most two rows a
-    stratum, feature and grid step, for the strata that have enough good labels to show anything."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    with_label = (
-        measured.join(known, "doc_id")
-        .select("stratum", "label", F.posexplode(F.array(*map(_level, FEATURES))).alias("feature", "level"))
+    """Cutoffs by stratum and feature.  What reaches the driver are histograms of the strata that have
+    enough good labels to show anything: one by feature and grid step, which lays out the sequence of
+    joint rules, and one by the first joint rule that rejects a text, which tests it."""
+    known = _labelled(labels)
+    with_label = measured.join(known, "doc_id").select(
+        "stratum",
+        (F.col("label") == 1).alias("good"),
+        (F.pmod(F.xxhash64("doc_id"), F.lit(SHAPE)) == 0).alias("shape"),
+        F.array(*map(_level, FEATURES)).alias("levels"),
+    )
+    count = lambda condition: F.sum(condition.cast("long"))
+    least = math.log(delta) / math.log1p(-alpha)
+    enough = (
+        with_label.groupBy("stratum").agg(count(F.col("good") & ~F.col("shape")).alias("n")).where(F.col("n") >= least)
+    ).select("stratum")
+    laid = (
+        with_label.where("shape OR NOT good")
+        .join(enough, "stratum")
+        .select("stratum", "good", F.posexplode("levels").alias("feature", "level"))
         .groupBy("stratum", "feature", "level")
-        .agg(F.sum((F.col("label") == 1).cast("long")).alias("good"), F.sum((F.col("label") != 1).cast("long")).alias("bad"))
+        .agg(count(F.col("good")).alias("good"), count(~F.col("good")).alias("bad"))
+        .collect()
+    )
+    counts: dict[str, np.ndarray] = {}
+    for r in laid:
+        held = counts.setdefault(r.stratum, np.zeros((2, len(FEATURES), GRID + 1), np.int64))
+        held[:, r.feature, r.level + 1] = r.good, r.bad
+    rules = {stratum: sequence(*held) for stratum, held in counts.items()}
+    # By stratum, feature and level + 1: how many of the rules, from the strictest on, a text goes through
+    # before one lets it pass; 0 if none rejects it.
+    places = []
+    for stratum, moves in rules.items():
+        strict = np.zeros((len(FEATURES), GRID + 1), np.int64)
+        for k, (feature, step) in enumerate(moves):
+            row = strict[feature, step + 1 :]
+            row[row == 0] = len(moves) - k
+        places.append((stratum, strict.tolist()))
+    spark = measured.sparkSession
+    placed = with_label.join(spark.createDataFrame(places, "stratum string, strict array<array<int>>"), "stratum")
+    joint = F.greatest(*(F.col("strict")[k][F.col("levels")[k] + 1] for k in range(len(FEATURES))))
+    tested = (
+        placed.where("NOT shape OR NOT good")
+        .groupBy("stratum", joint.alias("place"))
+        .agg(count(F.col("good")).alias("good"), count(~F.col("good")).alias("bad"))
+        .collect()
     )
-    least = math.log(delta / len(FEATURES)) / math.log1p(-alpha / len(FEATURES))
-    enough = with_label.where("feature = 0").groupBy("stratum").agg(F.sum("good").alias("n")).where(F.col("n") >= least)
-    rows = with_label.join(enough, "stratum").collect()
-    strata = sorted({r.stratum for r in rows})
     cutoffs: dict[str, dict[str, int]] = {}
-    for stratum in strata:
-        for k, name in enumerate(FEATURES):
-            good, bad = np.zeros(GRID + 1, np.int64), np.zeros(GRID + 1, np.int64)
-            for r in rows:
-                if r.stratum == stratum and r.feature == k:
-                    good[r.level + 1], bad[r.level + 1] = r.good, r.bad
-            tests = len(FEATURES) * len(strata)
-            if (step := choose(good, bad, alpha / len(FEATURES), delta / tests)) is not None:
-                cutoffs.setdefault(stratum, {})[name] = step
+    for stratum, moves in sorted(rules.items()):
+        good, bad = np.zeros(len(moves) + 1, np.int64), np.zeros(len(moves) + 1, np.int64)
+        for r in tested:
+            if r.stratum == stratum:
+                good[r.place], bad[r.place] = r.good, r.bad
+        if (cutoff := choose(good, bad, alpha, delta / len(rules))) is not None:
+            names = list(FEATURES)
+            # A later rule of a feature is the stricter one.
+            cutoffs[stratum] = {names[feature]: step for feature, step in moves[: len(moves) - cutoff]}
     return cutoffs
 
 
@@ -186,8 +249,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta
 
 def accepted(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.1) -> DataFrame:
     """The documents that the rules keep, with all their columns.  Only labelled documents are
-    counted for the cutoffs; then every text is judged where it is, without a shuffle of texts."""
-    cutoffs = calibrate(materialise(measure(docs), "quality-counts"), labels, alpha, delta)
+    counted for the cutoffs; then every text is judged where it is."""
+    with_label = docs.join(_labelled(labels).select("doc_id"), "doc_id", "left_semi")
+    cutoffs = calibrate(materialise(measure(with_label), "quality-counts"), labels, alpha, delta)
     steps = {s: {FEATURES[name]: step for name, step in found.items()} for s, found in cutoffs.items()}
 
     def keeps(text: str | None, stratum: str | None) -> bool:

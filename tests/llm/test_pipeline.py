@@ -63,5 +63,5 @@ def test_run_gives_the_same_as_the_stages(spark, folder):
 
 def test_registry_has_one_query_for_each_operator():
     names = registry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(names)

@@ -56,6 +56,66 @@ def test_too_few_labels_give_no_cutoff():
     assert 0 <= rules.choose(good, bad, 0.004, 0.01) < 149
 
 
+def test_the_sequence_keeps_the_rate_from_few_labels():
+    """The whole procedure over many samples of 260 good labels: laid out by a fifth, tested by the rest."""
+    rng = np.random.default_rng(7)
+    features, failures, decided = 3, 0, 0
+    good_share = np.stack([np.linspace(1, 0, rules.GRID + 1) ** p for p in (8, 20, 40)])
+    good_share /= good_share.sum(axis=1, keepdims=True)
+
+    def draw(share, n):
+        return np.stack([rng.choice(rules.GRID + 1, n, p=row) for row in share])
+
+    def histogram(levels):
+        return np.stack([np.bincount(row, minlength=rules.GRID + 1) for row in levels])
+
+    many = draw(good_share, 100_000)
+    for _ in range(150):
+        shape, held, bad = draw(good_share, 52), draw(good_share, 208), draw(good_share[:, ::-1], 40)
+        moves = rules.sequence(histogram(shape), histogram(bad))
+        first = lambda levels: np.array(
+            [max((len(moves) - k for k, (f, c) in enumerate(moves) if x[f] > c), default=0) for x in levels.T]
+        )
+        by_place = [np.bincount(first(x), minlength=len(moves) + 1) for x in (held, bad)]
+        cutoff = rules.choose(*by_place, 0.02, 0.1)
+        if cutoff is not None:
+            decided += 1
+            last = dict(moves[: len(moves) - cutoff])
+            lost = np.zeros(many.shape[1], bool)
+            for f, c in last.items():
+                lost |= many[f] > c
+            failures += lost.mean() > 0.02
+    assert features == len(good_share) and decided > 100
+    assert failures <= 0.1 * 150 + 11
+
+
+def test_sequence_takes_the_best_catch_first_and_only_tightens():
+    good, bad = np.zeros((2, rules.GRID + 1), int), np.zeros((2, rules.GRID + 1), int)
+    good[0, :100], good[1, :20] = 1, 5
+    bad[0, 90:], bad[1, 150:160] = 1, 9
+    moves = rules.sequence(good, bad)
+    assert moves[0] == (1, 149)
+    for feature in (0, 1):
+        steps = [step for f, step in moves if f == feature]
+        assert steps == sorted(steps, reverse=True) and len(set(steps)) == len(steps)
+    assert rules.sequence(good, np.zeros_like(bad)) == []
+
+
+def test_every_stratum_with_enough_labels_decides(corpus, labels):
+    rng = random.Random(3)
+    rows, known = [], []
+    for k in range(1200):
+        good = k % 5 != 0
+        words = prose(rng, 14).split()
+        rows.append((k, " ".join(words if good else [f"{w}###" for w in words]), ("en", "de", None)[k % 3] if k < 1170 else "fr"))
+        known.append((k, int(good), 0))
+    measured = rules.measure(corpus(rows, clashing=True))
+    found = rules.calibrate(measured, labels([*known, (None, 1, 0), (3, None, 0), (4, 1, 0)]))
+    assert sorted(found) == ["", "de", "en"]
+    judged = {r["doc_id"]: r["kept"] for r in rows_of(rules.judge(measured, found))}
+    assert all(judged[k] == bool(label) or rows[k][2] == "fr" for k, label, _ in known)
+
+
 def test_junk_goes_and_good_texts_stay(corpus, labels):
     rng = random.Random(2)
     rows, known = [], []
