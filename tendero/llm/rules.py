@@ -173,12 +173,10 @@ def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta
     )
     count = lambda condition: F.sum(condition.cast("long"))
     least = math.log(delta) / math.log1p(-alpha)
-    enough = (
-        with_label.groupBy("stratum").agg(count(F.col("good") & ~F.col("shape")).alias("n")).where(F.col("n") >= least)
-    ).select("stratum")
+    enough = with_label.groupBy("stratum").agg(count(F.col("good") & ~F.col("shape")).alias("n")).where(F.col("n") >= least)
     laid = (
         with_label.where("shape OR NOT good")
-        .join(enough, "stratum")
+        .where(F.col("stratum").isin([r.stratum for r in enough.collect()]))
         .select("stratum", "good", F.posexplode("levels").alias("feature", "level"))
         .groupBy("stratum", "feature", "level")
         .agg(count(F.col("good")).alias("good"), count(~F.col("good")).alias("bad"))
@@ -199,7 +197,9 @@ def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta
             row[row == 0] = len(moves) - k
         places.append((stratum, strict.tolist()))
     spark = measured.sparkSession
-    placed = with_label.join(spark.createDataFrame(places, "stratum string, strict array<array<int>>"), "stratum")
+    # The driver holds these rows already, one a stratum; so one language may hold most documents.
+    steps = F.broadcast(spark.createDataFrame(places, "stratum string, strict array<array<int>>"))
+    placed = with_label.join(steps, "stratum")
     joint = F.greatest(*(F.col("strict")[k][F.col("levels")[k] + 1] for k in range(len(FEATURES))))
     tested = (
         placed.where("NOT shape OR NOT good")
@@ -234,7 +234,7 @@ def judge(measured: DataFrame, cutoffs: dict[str, dict[str, int]]) -> DataFrame:
         rejected = rejected | x
     return (
         measured.withColumn("base_failed", base)
-        .join(held, "stratum", "left")
+        .join(F.broadcast(held), "stratum", "left")  # a row a stratum, held by the driver already
         .withColumn("kept", ~rejected)
         .drop(*(f"_{name}" for name in FEATURES))
     )
