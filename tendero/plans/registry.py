@@ -23,7 +23,7 @@ from tendero.session import work_folder
 from tendero.sources import benchmark, files, layout, sinks, versions
 from tendero.streaming import feed as streams
 from tendero.streaming import freshness
-from tendero.streaming.alerts import live_alerts
+from tendero.streaming.alerts import live_alerts, run_alerts
 
 # Parameters that fit the benchmark data (orders run from 1995-01-01 to 2001-08-01).
 CURRENT = ("2001-01-01", "2001-06-30")
@@ -510,7 +510,9 @@ def _live_alerts(spark: SparkSession, directory: str) -> DataFrame:
     watched = stores.unionByName(stores.filter("store_id < 2").withColumn("store_id", F.col("store_id") + 100))
     feed = benchmark.event_stream(spark, directory)
     alerts = live_alerts(feed, watched, F.lit("2024-01-01 08:00:00").cast("timestamp"))
-    return _stream_result(spark, alerts, "live-alerts")
+    folder = work_folder(spark, "live-alerts")
+    run_alerts(alerts, f"{folder}/table", f"{folder}/checkpoint")
+    return spark.read.schema(alerts.schema).parquet(f"{folder}/table")
 
 
 @session_query("silent_intervals")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tendero.operators.incremental import alert_time
+from tendero.session import rocksdb_state
+from tendero.streaming.feed import run_available
 
 HOUR = 3_600_000_000  # in microseconds
 FOUND = "store_id long, last_at long, due long"
@@ -88,7 +90,8 @@ def live_alerts(
     """Stores that were silent for ``silence_hours`` of opening time, as a stream: (store_id, last_ts, alert_at).
     ``stores`` are the active ones, watched from ``since`` on; ``last_ts`` is NULL for a store that had not sent
     anything by then.  Each silence alerts once, as soon as no late ticket can end it before its alert.  Tickets
-    of stores that are not among ``stores`` are watched from their first one on."""
+    of stores that are not among ``stores`` are watched from their first one on.  Start the stream in a session
+    with RocksDB state, or by ``run_alerts``."""
     if silence_hours < 1:
         raise ValueError("silence_hours must be at least 1")
 
@@ -105,3 +108,9 @@ def live_alerts(
     return alerts.select(
         "store_id", F.timestamp_micros("last_at").alias("last_ts"), F.timestamp_micros("due").alias("alert_at")
     )
+
+
+def run_alerts(alerts: DataFrame, path: str, checkpoint: str) -> None:
+    """``run_available`` for the stream of ``live_alerts``, in any session."""
+    with rocksdb_state(alerts.sparkSession):
+        run_available(alerts, path, checkpoint)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tendero.operators import incremental
 from tendero.streaming import feed as streams
-from tendero.streaming.alerts import live_alerts
+from tendero.streaming.alerts import live_alerts, run_alerts
 from tests.conftest import records
 
 SCHEMA = "transaction_id long, ts timestamp, store_id long, total_amount double, status string"
@@ -135,3 +135,21 @@ def test_a_late_ticket_ends_a_silence_before_its_alert(spark, tmp_path):
     assert [r for r in got if r[0] == 0] == [(0, at(10, 30), at(12, 30))]
     assert [r for r in got if r[0] == 1] == [(1, None, at(10)), (1, at(12, 10), at(14, 10))]
     assert [r for r in got if r[0] == 2] == [(2, None, at(10))]
+
+
+def test_alerts_run_in_a_session_without_rocksdb(spark, tmp_path):
+    landing, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    send(spark, landing, "a", [(1, at(9), 0), (2, at(18), 1)])
+    watched = spark.createDataFrame([(0,), (7,)], "store_id long")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, plain)
+    try:
+        alerts = live_alerts(stream(spark, landing), watched, F.lit(at(8)))
+        run_alerts(alerts, out, check)
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.set(key, before)
+    got = records(spark.read.schema(alerts.schema).parquet(out), "store_id", "last_ts", "alert_at")
+    assert got == [(0, at(9), at(11)), (7, None, at(10))]
