@@ -192,7 +192,7 @@ def _export_reports(spark: SparkSession, directory: str) -> DataFrame:
 def _stored_layout(spark: SparkSession, directory: str) -> DataFrame:
     """Net sales by category over the bucketed tables: lines and tickets meet in place."""
     prefix = f"retail_{uuid.uuid4().hex[:8]}"
-    layout.store_retail(benchmark.retail_tables(spark, directory), prefix, buckets=8)
+    layout.store_retail(benchmark.retail_tables(spark, directory), prefix)
     return sales.category_sales(layout.stored_retail(spark, prefix))
 
 

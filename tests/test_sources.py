@@ -96,6 +96,21 @@ def test_bucketed_layout_joins_without_a_shuffle(make, spark):
             spark.sql(f"DROP TABLE bucketed_{name}")
 
 
+def test_buckets_grow_with_the_facts(spark, make, monkeypatch):
+    monkeypatch.setattr(layout, "LEAST_BUCKETS", 2)
+    tables = make([ticket(f"t{i}", "2025-01-01") for i in range(50)], [line(f"{i}", f"t{i % 50}") for i in range(200)])
+    assert [layout.buckets_for(tables, rows) for rows in (1000, 100, 24)] == [2, 3, 11]
+    assert layout.buckets_for(make()) == 2
+    monkeypatch.setattr(layout.buckets_for, "__defaults__", (50,))
+    layout.store_retail(tables, "by_rows")
+    try:
+        described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED by_rows_transaction_items").collect()}
+        assert described["Num Buckets"] == "5"
+    finally:
+        for name in TABLE_NAMES:
+            spark.sql(f"DROP TABLE by_rows_{name}")
+
+
 PERIODS = jobs.MartPeriods("2025-01-01", "2025-06-30", "2025-04-01", "2025-06-30", "2025-06-30")
 
 
