@@ -8,6 +8,8 @@ checkpoint lives beside it on shared storage, so a lost executor or driver resum
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +72,19 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
+@contextmanager
+def _unsorted_partitions(spark: SparkSession) -> Iterator[None]:
+    """Rows are written to partitions as they come, not sorted by partition first: all rows of a file have one
+    arrival date.  Beyond this number of open files a task sorts the rest."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def load_batch(batch: DataFrame, path: str) -> None:
     """Store the rows of the files of a batch (as ``ingest`` gives them, whole files) whose content is new.
 
@@ -89,8 +104,10 @@ def load_batch(batch: DataFrame, path: str) -> None:
         return
     load = hashlib.sha256("".join(sorted(r.source_hash for r in fresh)).encode()).hexdigest()[:32]
     files = spark.createDataFrame([(r.source_hash, r.source_file, r.rows, load) for r in fresh], LEDGER)
-    rows = batch.join(files.select("source_file", "source_hash"), "source_file")
-    rows.write.mode("overwrite").partitionBy("arrival_date").parquet(f"{path}/rows/load={load}")
+    # The list is the driver's own, so it goes to the rows: by file, a file's rows would meet in one task.
+    rows = batch.join(F.broadcast(files.select("source_file", "source_hash")), "source_file")
+    with _unsorted_partitions(spark):
+        rows.write.mode("overwrite").partitionBy("arrival_date").parquet(f"{path}/rows/load={load}")
     files.coalesce(1).write.mode("append").parquet(f"{path}/ledger")
 
 

@@ -81,6 +81,25 @@ def test_rows_of_a_load_that_was_cut_off_are_not_read(spark, places, monkeypatch
     assert [r[0] for r in stored(spark, raw)] == [1, 2, 2, 7]
 
 
+def test_rows_of_a_large_file_are_stored_by_several_tasks(spark, places):
+    landing, raw, _ = places
+    rows = [(k, at(9, micro=k), 1, k / 7, "COMPLETED") for k in range(4000)]
+    one = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    one.write.option("parquet.block.size", 8192).parquet(f"{landing}/a")
+    sizes = {"spark.sql.files.maxPartitionBytes": "8192", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, size in sizes.items():
+        spark.conf.set(key, size)
+    try:
+        batch = streams.ingest(spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(landing))
+        streams.load_batch(batch, raw)
+    finally:
+        for key, size in before.items():
+            spark.conf.set(key, size)
+    assert len(stored(spark, raw)) == 4000
+    assert spark.read.parquet(f"{raw}/rows").select(F.input_file_name()).distinct().count() > 1
+
+
 # ---------------------------------------------------------------- alerts
 def tickets(seed, days=4, stores=4):
     rng = random.Random(seed)
