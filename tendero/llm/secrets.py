@@ -11,8 +11,9 @@ Words are ranked: a short fixed list of password words first, then the ``words``
 documents themselves, so a word costs about the logarithm of its rank.  All documents are counted; the
 bounded list (at most ``words`` words of 20 letters) goes to every task.
 
-Two limits: bits are exact below ``FULL_BITS`` and count as that many above, and in values of over
-``LONG`` characters repeats are sought where their run begins, with units of at most 64 characters.
+A limit: bits are exact below ``FULL_BITS`` and count as that many above.  Repeats are sought from every place on
+and with units of any length, in values of any length; a long value that is cheap since it nests long repeats
+takes a time that grows with the square of the longest unit.
 
 Edge cases: a null or empty text has no spans; repeated rows are scanned each; a null doc_id stays
 null; a value of any length is judged whole (the search stops as soon as no way to end it can be
@@ -69,7 +70,7 @@ DATES = tuple(
         r"(?:19|20)\d\d",
     )
 )
-LONG, LONG_UNIT = 256, 64  # beyond so many characters: how long a repeat's unit may be
+LONG_UNIT = 127  # units up to here are tried also if they are repeats themselves
 FULL_BITS = 128.0  # costs are not told apart above
 WORDS_OF_CORPUS, LEAST_COUNT, LONGEST_WORD = 20_000, 20, 20
 SEGMENT_BITS = 1.0  # for each span: where it ends
@@ -137,21 +138,63 @@ def _walks(lower: str, i: int, most: float):
             yield j, bits
 
 
-def _repeats(value: str, i: int):
-    """(unit, ends) of what stands at least twice in a row from a place on; the k-th end is that of k + 2."""
-    n = len(value)
-    whole = n <= LONG
-    size, most = 0, (n - i) // 2 if whole else min((n - i) // 2, LONG_UNIT)
-    while (size := value.find(value[i], i + size + 1, i + most + 1) - i) > 0:
-        if not whole and i and value[i - 1] == value[i - 1 + size] and value.startswith(value[max(0, i - size) : i], i):
-            continue  # in the midst of a run that began before
-        unit = value[i : i + size]
-        if not value.startswith(unit, i + size):
-            continue
-        end = i + 2 * size
-        while value.startswith(unit, end):
-            end += size
-        yield unit, range(i + 2 * size, end + 1, size)
+def _alike(value: str, a: int, b: int, way: int) -> int:
+    """How many characters from two places on, forwards or backwards, are the same."""
+    most, done, size = (len(value) - b if way > 0 else a), 0, 16
+    while done < most:
+        size = min(size, most - done)
+        x, y = (a + done, b + done) if way > 0 else (a - done - size, b - done - size)
+        if value[x : x + size] == value[y : y + size]:
+            done += size
+            size *= 2
+        elif size == 1:
+            break
+        else:
+            most, size = done + size, size // 2
+    return done
+
+
+def _runs(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, size) of the longest stretches in which every character is that of ``size`` places before, at
+    least two units long: what stands several times in a row is inside of one.
+
+    Of a unit of 2 to 4 blocks, the first whole block of its run stands again a unit later, so each block is looked
+    up in the stretch where that may be.  A unit of over ``LONG_UNIT`` characters that is itself a repeat of a
+    smaller one is left out: writing the smaller one more often costs less."""
+    n, found = len(value), []
+    at = 0
+    while at < n:
+        end = at + 1 + _alike(value, at, at + 1, 1)
+        if end - at >= 2:
+            found.append((at, end, 1))
+        at = end
+    block = 1
+    while 4 * block <= n:
+        met: dict[int, tuple[int, int]] = {}  # by size: the last stretch, also one that is too short
+        small = sorted(r for r in found if 2 * r[2] <= block) if 2 * block > LONG_UNIT else []
+        known, inside = 0, 0
+        for t in range(0, n - 3 * block + 1, block):
+            part, stop = value[t : t + block], min(n, t + 5 * block - 1)
+            while known < len(small) and small[known][0] <= t:
+                inside = max(inside, small[known][1])
+                known += 1
+            j = t + 2 * block
+            if inside >= t + block:
+                j = max(j, inside - block + 1)
+            while (j := value.find(part, j, stop)) >= 0:
+                size = j - t
+                a, b = met.get(size, (0, 0))
+                if not (a <= t and j + block <= b):
+                    a = t - _alike(value, t, j, -1)
+                    b = j + _alike(value, t, j, 1)
+                    met[size] = (a, b)
+                    if b - a >= 2 * size and not (
+                        size > LONG_UNIT and any(x <= a and b <= y and size % q == 0 for x, y, q in found if q < size)
+                    ):
+                        found.append((a, b, size))
+                j += 1
+        block *= 2
+    return sorted(found)
 
 
 def guess_bits(
@@ -172,6 +215,8 @@ def guess_bits(
         held |= _kind(c)
     sets = [kinds for kinds in range(1, 32) if kinds & held == kinds]
     reach = 0  # where the longest of the other spans so far ends
+    runs = _runs(value)[::-1]
+    open_runs: list[tuple[int, int, int, dict[int, int]]] = []  # with the last start that was tried, by its place in the unit
 
     def put(end: int, bits: float) -> None:
         nonlocal reach
@@ -206,14 +251,24 @@ def guess_bits(
             for pattern in DATES:
                 if m := pattern.match(value, i):
                     put(m.end(), base + DATE_BITS)
-        for unit, ends in _repeats(value, i):
+        while runs and runs[-1][0] <= i:
+            open_runs.append((*runs.pop(), {}))
+        if any(end < i + 2 * size for _, end, size, _ in open_runs):
+            open_runs = [r for r in open_runs if r[1] >= i + 2 * r[2]]
+        for start, end, size, tried in open_runs:
+            place = (i - start) % size
+            before = tried.get(place)
+            if before is not None and cost[before] + math.log2((i - before) // size + 2) - 1 <= cost[i]:
+                continue  # the same unit from there on reaches every end at no higher cost
+            unit = value[i : i + size]
             own = known.get(unit)
             if own is None:
-                own = WIDTH[_kind(unit)] if len(unit) == 1 else guess_bits(unit, enough, ranks, known)
+                own = WIDTH[_kind(unit)] if size == 1 else guess_bits(unit, enough, ranks, known)
                 known[unit] = own
             if base + own < enough:
-                for times, end in enumerate(ends, start=2):
-                    put(end, base + own + math.log2(times))
+                tried[place] = i
+                for times, stop in enumerate(range(i + 2 * size, end + 1, size), start=2):
+                    put(stop, base + own + math.log2(times))
     return cost[n]
 
 

@@ -116,6 +116,26 @@ def test_long_units_walks_and_spans():
     assert secrets.guess_bits(noise) <= secrets.SEGMENT_BITS + 50 * math.log2(26) + 1e-9
 
 
+def test_repeats_count_alike_in_values_of_any_length():
+    unit = "x7Gk29Qm".join(["ab" * 20, "cd" * 20])  # 88 characters, in which runs begin within runs
+    once = secrets.guess_bits(unit)
+    for times in (2, 3, 4, 8, 20):  # over 256 characters from 3 on
+        want = once + secrets.SEGMENT_BITS + math.log2(times)
+        assert secrets.guess_bits(unit * times) == pytest.approx(want)
+    tail = secrets.guess_bits("q" + "ab" * 40)
+    assert secrets.guess_bits("q" + "ab" * 160) == pytest.approx(tail + 2)
+
+
+def test_runs_hold_every_square():
+    rng = random.Random(9)
+    for _ in range(200):
+        value = "".join(rng.choice(["a", "b", "ab", "abaab"]) * rng.randint(1, 4) for _ in range(rng.randint(1, 12)))
+        runs = secrets._runs(value)
+        for i, size in itertools.product(range(len(value)), range(1, len(value) // 2 + 1)):
+            square = i + 2 * size <= len(value) and value[i : i + size] == value[i + size : i + 2 * size]
+            assert square == any(a <= i and i + 2 * size <= b for a, b, q in runs if q == size), (value, i, size)
+
+
 def test_words_of_the_documents_are_cheap(corpus):
     rows = [(k, f"An elephant, a GIRAFFE and {'x' * 30} with id{k}") for k in range(30)] + [(50, "pwd: elephantgiraffe!")]
     docs = corpus(rows, clashing=True)
