@@ -77,7 +77,7 @@ class SilenceProcessor(StatefulProcessor):
         if any(w > now for w in waits):
             self._handle.registerTimer(-(-min(w for w in waits if w > now) // 1000))
         frame = pd.DataFrame(found, columns=["store_id", "last_at", "due"])
-        return frame.astype({"store_id": "int64", "due": "int64"}).astype({"last_at": "Int64"})
+        return frame.astype({"store_id": "Int64", "last_at": "Int64", "due": "int64"})
 
     def close(self) -> None:
         pass
@@ -99,7 +99,7 @@ def live_alerts(
         return F.unix_micros(alert_time(moment, silence_hours, opening, closing))
 
     watched = stores.select(F.col("store_id").cast("long").alias("store_id")).distinct().withColumn("due", due(since))
-    tickets = feed.withWatermark("ts", delay).select(
+    tickets = feed.withWatermark("ts", delay).filter("ts IS NOT NULL").select(
         F.col("store_id").cast("long").alias("store_id"), "ts", F.unix_micros("ts").alias("at"), due(F.col("ts")).alias("due")
     )
     alerts = tickets.groupBy("store_id").transformWithStateInPandas(

@@ -172,3 +172,8 @@ def test_alerts_run_in_a_session_without_rocksdb(spark, tmp_path):
         spark.conf.set(key, before)
     got = records(spark.read.schema(alerts.schema).parquet(out), "store_id", "last_ts", "alert_at")
     assert got == [(0, at(9), at(11)), (7, None, at(10))]
+
+
+def test_tickets_without_time_or_store(spark, tmp_path):
+    got = drained(spark, tmp_path, [[(1, at(9), 0), (2, None, 0), (3, at(9, 30), None), (4, at(18), 1)]])
+    assert [r for r in got if r[0] in (0, None)] == [(None, at(9, 30), at(11, 30)), (0, at(9), at(11))]
