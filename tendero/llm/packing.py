@@ -10,6 +10,7 @@ table gives an empty result; columns other than doc_id and text do not matter.""
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from array import array
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tendero.llm.common import map_batches, materialise, slots, texts
 
-WORD_LIMIT, PART_LIMIT, WORD_LENGTH = 400_000, 1_000_000, 64
+WORD_LIMIT, PART_LIMIT, WORD_LENGTH = 1_000_000, 1_000_000, 64
 ITEM = array("I").itemsize  # bytes of an id
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -85,12 +86,18 @@ class _Words:
         return found
 
 
+@functools.lru_cache(1)
+def _words(tokenizer: str) -> _Words:
+    """One a Python worker: the tasks that it runs one after another know the words of those before."""
+    return _Words(tokenizer)
+
+
 def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Each document's ids and ``end_id``, cut into pieces of at most ``length`` tokens."""
     end = array("I", [end_id]).tobytes()
 
     def make():
-        words = _Words(tokenizer)
+        words = _words(tokenizer)
 
         def work(batch: pa.RecordBatch) -> dict:
             rows = []

@@ -25,6 +25,12 @@ def test_words_give_the_ids_of_whole_texts():
         assert array("I", words.ids(text)).tolist() == ids_of(tokenizer, text)[:-1]
 
 
+def test_tasks_of_a_worker_share_the_words_they_met():
+    words = packing._words(FILE)
+    words.ids("one two")
+    assert packing._words(FILE) is words and {"one", "two"} <= words.words.keys()
+
+
 def test_plan_fills_without_overlap_and_close_to_the_bound():
     rng = random.Random(1)
     for _ in range(60):
