@@ -10,7 +10,6 @@ table gives an empty result; columns other than doc_id and text do not matter.""
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from array import array
@@ -21,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tendero.llm.common import map_batches, materialise, slots, texts
+from tendero.llm.common import held, map_batches, materialise, slots, texts
 
-WORD_LIMIT, PART_LIMIT, WORD_LENGTH = 1_000_000, 1_000_000, 64
+# Words and parts of a table, of which there are two: the present one and the one before it.
+WORD_LIMIT, WORD_LENGTH = 500_000, 64
 ITEM = array("I").itemsize  # bytes of an id
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -32,7 +32,8 @@ class _Words:
     """Token ids of the words between spaces, as little-endian bytes.  The tokenizer drops white
     space and looks at no word's neighbours, so a text's ids are those of its words.  Nor does it
     look beyond marks that follow letters (ones that no special token or short form holds), so new
-    words are cut there, and their parts encoded together, once for each text."""
+    words are cut there, and their parts encoded together, once for each text.  Words and parts share
+    a table.  A full one is kept until the next is full, and what comes again moves on, so frequent words stay."""
 
     MARKS = ",.!%$#*&;?:"
 
@@ -43,13 +44,15 @@ class _Words:
 
         self.encode = Tokenizer.from_file(tokenizer).encode_batch_fast
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.long: set[str] = set()  # those of the present text
 
     def learn(self, words: set[str]) -> None:
-        if len(self.parts) > PART_LIMIT:
-            self.parts = {}
-        parts, cut, fresh = self.parts, [], set()
+        known, old, cut, fresh = self.words, self.old, [], set()
         for word in words:
+            if (found := old.get(word)) is not None:
+                known[word] = found
+                continue
             stem = word.rstrip(self.MARKS)
             plain = stem.isalpha()
             tail = word[len(stem) :] if plain else ""
@@ -57,39 +60,38 @@ class _Words:
                 stem = word
             elif stem.isascii():
                 stem = stem.lower()
-            if stem not in parts:
-                fresh.add(stem)
-            if tail and tail not in parts:
-                fresh.add(tail)
+            for part in (stem, tail) if tail else (stem,):
+                if part not in known:
+                    if (found := old.get(part)) is None:
+                        fresh.add(part)
+                    else:
+                        known[part] = found
             cut.append((word, stem, tail))
         fresh = list(fresh)
         for part, found in zip(fresh, self.encode(fresh, add_special_tokens=False), strict=True):
-            parts[part] = array("I", found.ids).tobytes()
-        known = self.words
+            known[part] = array("I", found.ids).tobytes()
         for word, stem, tail in cut:
-            known[word] = parts[stem] + parts[tail] if tail else parts[stem]
-        for part in fresh:
-            if len(part) > WORD_LENGTH:
-                del parts[part]
+            if word != stem:
+                known[word] = known[stem] + known[tail] if tail else known[stem]
+        self.long |= {x for x in (*words, *fresh) if len(x) > WORD_LENGTH}
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         different = set(words)
         if len(self.words) > WORD_LIMIT:
-            self.words = {"": b""}
+            self.old, self.words = self.words, {"": b""}
         if new := different.difference(self.words):
             self.learn(new)
         found = b"".join(map(self.words.__getitem__, words))
-        for word in new:
-            if len(word) > WORD_LENGTH:
-                del self.words[word]
+        for word in self.long:
+            del self.words[word]
+        self.long.clear()
         return found
 
 
-@functools.lru_cache(1)
 def _words(tokenizer: str) -> _Words:
     """One a Python worker: the tasks that it runs one after another know the words of those before."""
-    return _Words(tokenizer)
+    return held(_Words, tokenizer)
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -114,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, with_i
 
         return work
 
-    found = map_batches(texts(docs), make, PIECES)
+    found = map_batches(texts(docs), make, PIECES, shared=True)
     return found if with_ids else found.drop("ids")
 
 

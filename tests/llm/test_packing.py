@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from tendero.llm import packing
+from tendero.llm import common, packing
 from tests.llm.conftest import EDGES, prose, rows_of
 
 P = pytest.importorskip("public_tokenizers")
@@ -86,3 +86,23 @@ def test_packed_pieces_against_brute_force(corpus):
 
 def test_empty_table(corpus):
     assert packing.best_fit_packing(corpus([]), FILE).count() == 0
+
+
+def test_worker_lets_go_of_the_words_in_another_operator():
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    words = packing._words(FILE)
+    run = common.map_batches(Rows(), lambda: lambda batch: {"x": batch.column("x")}, "x long")
+    assert not list(run(iter([]))) and packing._words(FILE) is not words
+
+
+def test_words_stay_exact_and_bounded_when_the_table_is_full(monkeypatch):
+    monkeypatch.setattr(packing, "WORD_LIMIT", 3)
+    tokenizer, words = Tokenizer.from_file(FILE), packing._Words(FILE)
+    long = "y" * 99 + "!!"
+    for text in ("the One, two", "one. Two three", long, f"four {long} the One,", "One, five! six the", "seven the two") * 2:
+        assert array("I", words.ids(text)).tolist() == ids_of(tokenizer, text)[:-1]
+        assert len(words.words) + len(words.old) < 30 and not any(len(x) > 64 for x in {*words.words, *words.old})
+    assert "the" in words.words
