@@ -5,7 +5,7 @@ text falls into chunks whose tokens are independent.  Within a chunk, prefix dyn
 over byte-pair tokens: of all pieces that end at a position, exactly one is the last token of
 that prefix's encoding, namely the one that the encoder leaves beside the last token of the
 prefix before it.  ``count[i] = count[i - len(piece)] + 1``.  The library is asked only for pairs of
-neighbouring tokens; chunks and pairs are kept in bounded tables.
+neighbouring tokens; chunks and pairs are kept in bounded tables, which the tasks of a Python worker share.
 
 Edge cases: a null or empty text has 0 tokens and no prefixes; repeated rows are counted each;
 a null doc_id stays null; columns other than doc_id and text do not matter."""
@@ -13,17 +13,18 @@ a null doc_id stays null; columns other than doc_id and text do not matter."""
 from __future__ import annotations
 
 import re
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tendero.llm.common import map_batches, texts
+from tendero.llm.common import held, map_batches, texts
 
 SPACE = "▁"  # how the library writes a space
-CHUNK_LIMIT, PART_LIMIT, CHUNK_LENGTH, PAIR_LIMIT = 300_000, 700_000, 48, 1_000_000
-SHARED_LIMIT, BEGINNING = 250_000, 16
+CHUNK_LIMIT, PART_LIMIT, CHUNK_LENGTH, PAIR_LIMIT = 800_000, 500_000, 48, 1_000_000
+SHARED_LIMIT, BEGINNING = 1_000_000, 16
 COLUMNS = "doc_id long, n_bytes long, n_chars long, n_tokens long, prefix_steps binary, limit_chars long"
 
 
@@ -65,7 +66,7 @@ class _Chunks(dict):
     """By chunk: the step of the token count at each of its characters, as signed bytes."""
 
     # Where no piece has a letter before one of these marks, a chunk can be cut between the two.
-    NOTHING = {"": ((0,), ("",), b"")}
+    NOTHING = {"": bytes(2)}
     LETTERS, MARKS = "A-Za-zÀ-ɏ", "!%$#*&|,.;:?@+^~"
 
     def __init__(self, model: str):
@@ -78,49 +79,53 @@ class _Chunks(dict):
 
     def steps(self, part: str) -> bytes:
         pairs, endings, shared = self.pairs, self.pairs.endings, self.shared
-        # Words share their beginnings: go on from the longest one whose table is known.
-        done = min(len(part), BEGINNING - 1)
-        while part[:done] not in shared:
+        # Words share their beginnings: go on from the longest one that is known.  Its record has the
+        # counts and the sizes of the last tokens at each of its prefixes, and maybe at longer ones.
+        most = min(len(part), BEGINNING - 1)
+        done = most
+        while (record := shared.get(part[:done])) is None:
             done -= 1
-        counts, lasts, steps = shared[part[:done]]
+        half = len(record) // 2
+        counts = list(record[: done + 1])
+        lasts = [part[end - size : end] for end, size in enumerate(record[half : half + done + 1])]
         for end in range(done + 1, len(part) + 1):
-            start, ends = end - 1, [end - 1]
-            while start and (piece := endings.get(part[start - 1 : end])) is not None:
+            start = end - 1
+            ends = [part[start]]
+            while start and (piece := endings.get(wider := part[start - 1 : end])) is not None:
                 start -= 1
                 if piece:
-                    ends.append(start)
-            for start in reversed(ends):
-                token = part[start:end]
-                if pairs[lasts[start], token]:
+                    ends.append(wider)
+            for token in reversed(ends):
+                if pairs[lasts[end - len(token)], token]:
                     break
             else:
                 raise ValueError(f"no token ends at {end} of {part!r}")
-            count = counts[start] + (1 if token in endings else len(pairs.ids(token)))
-            steps += ((count - counts[-1]) & 255).to_bytes()
-            if end < BEGINNING:
-                counts, lasts = (*counts, count), (*lasts, token)
-                if len(shared) > SHARED_LIMIT:
-                    self.shared = shared = dict(self.NOTHING)
-                shared[part[:end]] = counts, lasts, bytes(steps)
-                continue
-            if end == BEGINNING:
-                counts, lasts, steps = list(counts), list(lasts), bytearray(steps)
-            counts.append(count)
+            counts.append(counts[end - len(token)] + (1 if token in endings else len(pairs.ids(token))))
             lasts.append(token)
-        return bytes(steps)
+        if done < most and max(counts[: most + 1]) < 256:
+            if len(shared) > SHARED_LIMIT:
+                self.shared = shared = dict(self.NOTHING)
+            record = bytes(counts[: most + 1]) + bytes(map(len, lasts[: most + 1]))
+            for end in range(done + 1, most + 1):
+                shared[part[:end]] = record
+        return bytes([(b - a) & 255 for a, b in pairwise(counts)])
 
     def __missing__(self, chunk: str) -> bytes:
-        found = []
-        for part in self.cut(chunk):
-            steps = self.parts.get(part)
-            if steps is None:
-                steps = self.steps(part)
-                if len(part) <= CHUNK_LENGTH:
-                    if len(self.parts) > PART_LIMIT:
-                        self.parts.clear()
-                    self.parts[part] = steps
-            found.append(steps)
-        whole = b"".join(found)
+        cut = self.cut(chunk)
+        if len(cut) == 1:
+            whole = self.parts.get(chunk) or self.steps(chunk)
+        else:
+            found = []
+            for part in cut:
+                steps = self.get(part) or self.parts.get(part)
+                if steps is None:
+                    steps = self.steps(part)
+                    if len(part) <= CHUNK_LENGTH:
+                        if len(self.parts) > PART_LIMIT:
+                            self.parts.clear()
+                        self.parts[part] = steps
+                found.append(steps)
+            whole = b"".join(found)
         if len(chunk) <= CHUNK_LENGTH:
             if len(self) > CHUNK_LIMIT:
                 self.clear()
@@ -146,6 +151,11 @@ class PrefixCounter:
         return first.to_bytes(1, signed=True) + steps[2:]
 
 
+def _counter(model: str) -> PrefixCounter:
+    """One a Python worker: the tasks that it runs one after another know the chunks of those before."""
+    return held(PrefixCounter, model)
+
+
 def prefix_counts(steps: bytes) -> np.ndarray:
     """Tokens of every prefix, from the empty one to the whole text."""
     return np.concatenate([[0], np.cumsum(np.frombuffer(steps, np.int8), dtype=np.int64)])
@@ -156,11 +166,11 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
     characters of the longest prefix with at most ``limit`` tokens."""
 
     def make():
-        counter = PrefixCounter(model)
+        counter = _counter(model)
 
         def work(batch: pa.RecordBatch) -> dict:
-            held = batch.column("text").to_pylist()
-            steps = [counter.steps(t) for t in held]
+            given = batch.column("text").to_pylist()
+            steps = [counter.steps(t) for t in given]
             totals, fits = [], []
             for s in steps:
                 if len(s) <= limit // 4:  # a character has four tokens at most
@@ -172,8 +182,8 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
                     fits.append(len(s) if counts[-1] <= limit else int(np.flatnonzero(counts <= limit)[-1]))
             return {
                 "doc_id": batch.column("doc_id"),
-                "n_bytes": pa.array([len(t.encode()) for t in held], pa.int64()),
-                "n_chars": pa.array(map(len, held), pa.int64()),
+                "n_bytes": pa.array([len(t.encode()) for t in given], pa.int64()),
+                "n_chars": pa.array(map(len, given), pa.int64()),
                 "n_tokens": pa.array(totals, pa.int64()),
                 "prefix_steps": pa.array(steps, pa.binary()),
                 "limit_chars": pa.array(fits, pa.int64()),
@@ -181,7 +191,7 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
 
         return work
 
-    return map_batches(texts(docs), make, COLUMNS)
+    return map_batches(texts(docs), make, COLUMNS, shared=True)
 
 
 def tokens_at(counted: DataFrame, n_chars: str, out: str) -> DataFrame:

@@ -50,3 +50,19 @@ def test_budget_questions_from_the_stored_steps(corpus, encoder):
     assert row.n_at == len(encoder.encode(text[:11]))
     within = lambda most: max(k for k in range(len(text) + 1) if len(encoder.encode(text[:k])) <= most)
     assert row.cut == within(7) and row.limit_chars == within(5)
+
+
+def test_tasks_of_a_worker_share_the_chunks_they_met():
+    counter = tokens._counter(MODEL)
+    counter.steps("one two")
+    assert tokens._counter(MODEL) is counter and {"▁one", "▁two"} <= counter.chunks.keys()
+
+
+def test_beginnings_hold_no_tuples_and_stay_exact(encoder):
+    counter = tokens.PrefixCounter(MODEL)
+    for text in ("unbelievable", "unbelief", "un", "unbelievably-long.and so on", "ﷺ①é" * 9):
+        counts = tokens.prefix_counts(counter.steps(text)).tolist()
+        assert counts == [len(encoder.encode(text[:k])) for k in range(len(text) + 1)], text
+    # One record serves all beginnings that were met together.
+    shared = counter.chunks.shared
+    assert all(type(x) is bytes for x in shared.values()) and shared["▁unb"] is shared["▁unbelie"]
