@@ -40,7 +40,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+").findall
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPAN = 5
 WORD_LIMIT = 500_000
-BIT_WORDS = 8
+BIT_WORDS = 16
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,7 @@ class Shingles:
 
 
 def odd_bits(values: np.ndarray) -> np.ndarray:
-    """The parity of the number of values in each of 512 classes, as 8 words: two sets whose bits differ
+    """The parity of the number of values in each of 1,024 classes, as 16 words: two sets whose bits differ
     at d places differ in d values or more."""
     counts = np.bincount(((values >> np.uint64(20)) & np.uint64(64 * BIT_WORDS - 1)).astype(np.int64), minlength=64 * BIT_WORDS)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
