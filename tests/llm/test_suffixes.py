@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -84,5 +85,30 @@ def test_texts_longer_than_a_chunk(monkeypatch):
     assert {s: a for a, f, l in suffixes.anchored_runs(text, 60, 8) for s in range(f, l + 1)} == whole
 
 
+def test_memory_of_a_suffix_array():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    runs = [" ".join(rng.choices(words, k=120)).encode()[:700] for _ in range(600)]
+    runs[300:400] = runs[:100]
+    suffixes.repeated_starts(runs[:2], 400)  # what the first call loads does not count
+    tracemalloc.start()
+    try:
+        found = suffixes.repeated_starts(runs, 400)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, found)) == 200 * (len(runs[0]) - 399)
+    assert peak < 60 * sum(map(len, runs))
+
+
+def test_an_array_takes_whole_anchors_up_to_a_size():
+    sizes = {1: [30, 30], 2: [40], 3: [1], 4: [70, 70], 5: [10], 6: [90], 7: [1]}
+    rows = [(k, 0, anchor, 0, bytes(n)) for anchor, held in sizes.items() for k, n in enumerate(held)]
+    found = list(suffixes.by_array(iter(rows), 100))
+    assert [row for held in found for row in held] == rows
+    assert [sorted({row[2] for row in held}) for held in found] == [[1, 2], [3], [4], [5, 6], [7]]
+    assert list(suffixes.by_array(iter(()), 100)) == []
+
+
 def test_empty_table(corpus):
     assert suffixes.without_repeats(corpus([])).count() == 0
